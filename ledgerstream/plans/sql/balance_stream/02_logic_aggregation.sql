@@ -1,0 +1,4 @@
+-- The changed accounts of every micro-batch; the job's sink upserts them.
+SELECT account_id, SUM(amount_transferred) AS total_balance, CAST(MAX(ts) AS TIMESTAMP_NTZ) AS last_updated
+FROM transactions
+GROUP BY account_id;
