@@ -37,7 +37,7 @@ class AlertRules:
 
     def watched(self) -> Column:
         """Number of watched transactions, as an aggregate."""
-        return F.count_if(F.col("transaction_type_id").isin(*self.watched_types)).cast("int")
+        return F.count(F.when(F.col("transaction_type_id").isin(*self.watched_types), 1)).cast("int")
 
     def fires(self) -> Column:
         return self.too_many() | self.too_much() | self.too_many_watched()

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerstream.functions import eventtime
+from ledgerstream.session import run_dir
 
 DAY_MS = 86_400_000
 MINUTE_MS = 60_000
@@ -19,36 +20,44 @@ def reported_transactions(reports: DataFrame, transactions: DataFrame, hot: int
     """Each report with the transaction it names, if there is one (batch).
 
     Copies of a transaction count once. A transaction named by more than ``hot`` reports is repeated, so that
-    its reports spread over several tasks; at most ``reports / hot`` transactions are repeated.
+    its reports spread over several tasks. The list of such transactions, at most ``reports / hot``, is
+    written out first: Spark then knows its size and broadcasts it only where it is small.
     """
     named = reports.select("transaction_id", "report_id", "risk_level", F.col("timestamp").alias("reported_at"))
-    known = (transactions.groupBy(F.col("id").alias("transaction_id"))
-             .agg(F.max(F.struct("timestamp", "account_id", "amount_transferred")).alias("t")))
-
     crowded = (named.groupBy("transaction_id").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
                .select("transaction_id", F.ceil(F.col("n") / hot).cast("int").alias("parts")))
+    folder = run_dir(reports.sparkSession, "crowded")
+    crowded.write.parquet(folder)
+    crowded = reports.sparkSession.read.schema(crowded.schema).parquet(folder)
+
     parts = F.coalesce("parts", F.lit(1))
     left = (named.join(crowded, "transaction_id", "left")
             .withColumn("part", F.pmod(F.xxhash64("report_id"), parts).cast("int")).drop("parts"))
-    right = (known.join(crowded, "transaction_id", "left")
-             .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).drop("parts"))
+    right = (transactions.withColumnRenamed("id", "transaction_id").join(crowded, "transaction_id", "left")
+             .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+             .groupBy("transaction_id", "part")
+             .agg(F.max(F.struct("timestamp", "account_id", "amount_transferred")).alias("t")))
     return (left.join(right, ["transaction_id", "part"], "left")
             .select("report_id", "transaction_id", "risk_level", "t.account_id", "t.amount_transferred",
                     (F.col("reported_at") - F.col("t.timestamp")).alias("lag_ms")))
 
 
 def reported_transactions_stream(reports: DataFrame, transactions: DataFrame, lookback: str = "1 day",
-                                 delay: str = "10 seconds") -> DataFrame:
+                                 delay: str = "10 seconds", spread: int = 1) -> DataFrame:
     """Each report with the transaction it names, where that is at most ``lookback`` older (append mode).
 
-    The time bound lets both sides' state expire.
+    The time bound lets both sides' state expire. Copies of a transaction count once. ``spread`` repeats every
+    transaction that often, so that the reports of one transaction are spread over as many tasks.
     """
     r = eventtime.bounded(reports.select("report_id", F.col("transaction_id").alias("named"), "risk_level",
+                                         F.pmod(F.xxhash64("report_id"), F.lit(spread)).alias("report_part"),
                                          eventtime.from_millis().alias("report_ts")), delay, "report_ts")
     t = eventtime.bounded(transactions.select("id", "account_id", "amount_transferred",
                                               eventtime.from_millis().alias("ts")), delay)
+    t = (t.dropDuplicatesWithinWatermark(["id"])
+         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))))
     recent = F.col("ts").between(F.col("report_ts") - F.expr(f"interval {lookback}"), F.col("report_ts"))
-    return (r.join(t, (F.col("named") == F.col("id")) & recent)
+    return (r.join(t, (F.col("named") == F.col("id")) & (F.col("report_part") == F.col("part")) & recent)
             .select("report_id", F.col("id").alias("transaction_id"), "risk_level", "account_id",
                     "amount_transferred",
                     (F.unix_millis("report_ts") - F.unix_millis("ts")).alias("lag_ms")))

@@ -76,7 +76,7 @@ def decode(messages: DataFrame, writers: Mapping[int, Writer], record: str = "Ba
             .select("value", error.alias("decode_error"),
                     *(f.alias(name) for f, name in zip(fields, struct.fieldNames())))
             .observe(metrics, F.count("*").alias("messages"),
-                     *(F.count_if(F.col("decode_error") == e).alias(e) for e in DECODE_ERRORS)))
+                     *(F.count(F.when(F.col("decode_error") == e, 1)).alias(e) for e in DECODE_ERRORS)))
 
 
 def records(decoded: DataFrame) -> DataFrame:

@@ -31,10 +31,7 @@ def route_messages(messages: DataFrame, writers: Mapping[int, Writer], outputs:
     """
     decoded = envelope.decode(messages, writers, "BankEvent", codec, reader)
     reason = F.coalesce("decode_error", routing.reject_reason())
-    routed = routing.count_by_topic(
-        routing.classify(decoded).withColumn("reject_reason", reason)
-        .withColumn("topic", F.when(F.col("reject_reason").isNull(), F.col("topic"))
-                    .otherwise(routing.REJECT_TOPIC)))
+    routed = routing.count_by_topic(routing.classify(decoded, reason))
 
     def encode(member: str, record: str, schema_id: int):
         struct = schemas.RECORDS[record]

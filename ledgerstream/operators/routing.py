@@ -36,12 +36,16 @@ def reject_reason() -> Column:
             .when(~F.coalesce(_is("Transaction") | _is("FraudReport"), F.lit(False)), "body_mismatch"))
 
 
-def classify(events: DataFrame) -> DataFrame:
-    """Add ``topic`` and ``reject_reason`` to every event, in one narrow step."""
+def classify(events: DataFrame, reason: Column | None = None) -> DataFrame:
+    """Add ``topic`` and ``reject_reason`` to every event, in one narrow step.
+
+    ``reason`` replaces the router's own grounds for a reject.
+    """
     topic = (F.when(F.col("reject_reason").isNotNull(), REJECT_TOPIC)
              .when(F.col(_TYPE) == "Transaction", TRANSACTION_TOPIC)
              .otherwise(FRAUD_REPORT_TOPIC))
-    return events.withColumn("reject_reason", reject_reason()).withColumn("topic", topic)
+    reason = reject_reason() if reason is None else reason
+    return events.withColumn("reject_reason", reason).withColumn("topic", topic)
 
 
 def rejects(events: DataFrame) -> DataFrame:
@@ -51,7 +55,7 @@ def rejects(events: DataFrame) -> DataFrame:
 def count_by_topic(classified: DataFrame, name: str = "routing") -> DataFrame:
     """Report rows per outcome as metrics of the query, without an extra pass."""
     def count(condition: Column, label: str) -> Column:
-        return F.count_if(condition).alias(label)
+        return F.count(F.when(condition, 1)).alias(label)
 
     reasons = ("null_metadata", "unknown_type", "body_mismatch")
     return classified.observe(

@@ -18,11 +18,13 @@ def _servers(bootstrap_servers: str | None) -> str:
 
 
 def source_options(bootstrap_servers: str | None, topic: str, group_id: str | None = None,
-                   starting_offsets: Offsets = "earliest", max_per_trigger: int | None = None) -> dict[str, str]:
+                   starting_offsets: Offsets = "earliest", max_per_trigger: int | None = None,
+                   min_partitions: int | None = None) -> dict[str, str]:
     """Options of a source.
 
     ``starting_offsets`` counts for a new query only; a restarted one goes on from its checkpoint. Progress lives
     in the checkpoint and nothing is committed to the broker; the group id is a prefix that names the consumers.
+    ``min_partitions`` splits a topic partition that holds much of the data over several tasks.
     """
     options = {
         "kafka.bootstrap.servers": _servers(bootstrap_servers),
@@ -33,20 +35,24 @@ def source_options(bootstrap_servers: str | None, topic: str, group_id: str | No
         options["groupIdPrefix"] = group_id
     if max_per_trigger:
         options["maxOffsetsPerTrigger"] = str(max_per_trigger)
+    if min_partitions:
+        options["minPartitions"] = str(min_partitions)
     return options
 
 
 def read_stream(spark: SparkSession, bootstrap_servers: str | None, topic: str, group_id: str | None = None,
-                starting_offsets: Offsets = "earliest", max_per_trigger: int | None = None) -> DataFrame:
+                starting_offsets: Offsets = "earliest", max_per_trigger: int | None = None,
+                min_partitions: int | None = None) -> DataFrame:
     """Message values of a topic."""
-    options = source_options(bootstrap_servers, topic, group_id, starting_offsets, max_per_trigger)
+    options = source_options(bootstrap_servers, topic, group_id, starting_offsets, max_per_trigger, min_partitions)
     return spark.readStream.format("kafka").options(**options).load().select("value")
 
 
 def read_batch(spark: SparkSession, bootstrap_servers: str | None, topic: str,
-               starting_offsets: Offsets = "earliest") -> DataFrame:
+               starting_offsets: Offsets = "earliest", min_partitions: int | None = None) -> DataFrame:
     """Message values a topic holds now, for a backfill."""
-    options = source_options(bootstrap_servers, topic, starting_offsets=starting_offsets)
+    options = source_options(bootstrap_servers, topic, starting_offsets=starting_offsets,
+                             min_partitions=min_partitions)
     return spark.read.format("kafka").options(**options).load().select("value")
 
 

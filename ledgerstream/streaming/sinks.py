@@ -28,9 +28,12 @@ def _write(rows: DataFrame, root: str, batch_id: int) -> None:
 
 
 def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
-    """The latest row of every key, from the newest snapshot and the changes after it."""
+    """The latest row of every key, from the newest snapshot and the changes after it.
+
+    ``upto`` is the last batch to include; the snapshot is then one taken before that batch.
+    """
     changes, snapshot = f"{path}/{_CHANGES}", f"{path}/{_SNAPSHOT}"
-    snapshots = [i for i in _committed(spark, snapshot) if upto is None or i <= upto][-1:]
+    snapshots = [i for i in _committed(spark, snapshot) if upto is None or i < upto][-1:]
     after = snapshots[0] if snapshots else -1
     newer = [i for i in _committed(spark, changes) if i > after and (upto is None or i <= upto)]
     parts = ([_read(spark, snapshot, snapshots)] if snapshots else []) + ([_read(spark, changes, newer)] if newer else [])

@@ -1,0 +1,88 @@
+import pytest
+
+from helpers import MINUTE, finish, rows, stream, write_file
+from ledgerstream import schemas
+from ledgerstream.functions.rules import AlertRules
+from ledgerstream.operators import alerts
+from ledgerstream.streaming import jobs, sinks
+
+BASE = 1_700_000_100_000  # a five-minute boundary
+
+
+def spaced(account, n, amount, start=BASE, step=7000):
+    return [(account, amount, start + i * step) for i in range(n)]
+
+
+SCENARIOS = (spaced("s1", 5, 100) + spaced("s2", 15, 100) + spaced("s3", 3, 4000) + spaced("s4", 15, 1000)
+             + spaced("edge_n", 10, 10) + spaced("edge_sum", 4, 2500))
+
+
+def test_scenarios(transactions):
+    found = alerts.alerts(transactions(SCENARIOS))
+    assert found.schema.fieldNames() == schemas.ALERT.fieldNames()
+    assert [f.dataType for f in found.schema] == [f.dataType for f in schemas.ALERT]
+    end = BASE + 5 * MINUTE
+    assert rows(found) == [
+        ("s2", 1, "MEDIUM: High frequency (15 transactions)", 2, BASE, end, 15, 1500.0),
+        ("s3", 2, "HIGH: Large total amount ($12,000.00)", 3, BASE, end, 3, 12000.0),
+        ("s4", 3, "CRITICAL: High frequency (15 transactions) and large total amount ($15,000.00)", 4, BASE, end,
+         15, 15000.0),
+    ]
+
+
+def test_one_above_the_thresholds(transactions):
+    found = alerts.alerts(transactions(spaced("n", 11, 1) + [("s", 10000.01, BASE)]))
+    assert rows(found, "account_id", "urgency_level") == [("n", 2), ("s", 3)]
+
+
+def test_boundary_belongs_to_the_later_window(transactions):
+    end = BASE + 5 * MINUTE
+    found = alerts.account_windows(transactions([("a", 1, end - 1), ("a", 2, end)]))
+    assert rows(found, "window_start", "window_end", "transaction_count", "total_amount") == [
+        (BASE, end, 1, 1.0), (end, end + 5 * MINUTE, 1, 2.0)]
+
+
+def test_negative_and_zero_amounts_count(transactions):
+    found = alerts.account_windows(transactions([("a", -5, BASE), ("a", 0, BASE), ("a", 7, BASE)]))
+    assert rows(found, "transaction_count", "total_amount") == [(3, 2.0)]
+
+
+def test_one_minute_window(transactions):
+    data = transactions(spaced("a", 11, 1, step=10_000))
+    assert alerts.alerts(data).count() == 1
+    assert alerts.alerts(data, "1 minute").count() == 0
+
+
+def test_type_rule_ranks_below_the_others(transactions):
+    rules = AlertRules(watched_types=(2, 4), max_watched=1)
+    data = transactions([("quiet", 1, BASE, 2), ("typed", 1, BASE, 2), ("typed", 1, BASE, 4), ("rich", 20000, BASE, 2),
+                         ("rich", 1, BASE, 4)])
+    assert rows(alerts.alerts(data, rules=rules), "account_id", "type_id", "urgency_level") == [
+        ("rich", 2, 3), ("typed", 4, 2)]
+
+
+def test_settings_reach_the_rules(transactions):
+    found = jobs.fraud_alerts(transactions(spaced("a", 3, 1, step=1000)),
+                              {"fraud.threshold.transaction.count": "2", "window.size.minutes": "1"})
+    assert rows(found, "window_start", "window_end", "urgency_level") == [
+        (BASE - BASE % MINUTE, BASE - BASE % MINUTE + MINUTE, 2)]
+
+
+# One file per micro-batch; times in minutes.
+STREAM = [[("a", 1, 1), ("a", 2, 2)], [("b", 5, 20)], [("b", 6, 21)], [("a", 100, 3)], [("b", 7, 40)], [("b", 8, 60)]]
+
+
+@pytest.mark.parametrize("skip_third, a_total", [(False, 3.0), (True, 103.0)])
+def test_late_rows(spark, transactions, tmp_path, skip_third, a_total):
+    """A row behind the watermark is dropped, from the second batch after the one that moved it."""
+    for i, batch in enumerate(STREAM):
+        if not (skip_third and i == 2):
+            write_file(transactions([(k, v, t * MINUTE) for k, v, t in batch]), f"{tmp_path}/in")
+    windows = alerts.account_windows(stream(spark, f"{tmp_path}/in"))
+    query = finish(sinks.append_files(windows, f"{tmp_path}/out"), spark, "late", str(tmp_path))
+    found = {(r.account_id, r.window_start // MINUTE): r.total_amount
+             for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    b_total = 5.0 if skip_third else 11.0
+    assert found == {("a", 0): a_total, ("b", 20): b_total, ("b", 40): 7.0}
+    dropped = sum(op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"])
+    assert dropped == (0 if skip_third else 1)

@@ -1,0 +1,59 @@
+import os
+
+import pytest
+
+from helpers import rows
+from ledgerstream.streaming import sinks
+
+
+@pytest.fixture
+def change(spark):
+    return lambda *items: spark.createDataFrame(list(items), "k string, v int")
+
+
+def latest(spark, path, **kwargs):
+    return dict(rows(sinks.read_upserts(spark, path, ["k"], **kwargs), "k", "v"))
+
+
+def test_latest_row_of_a_key_wins(spark, change, tmp_path):
+    path = str(tmp_path)
+    write = sinks.upsert_batch(path, ["k"])
+    write(change(("a", 1), ("b", 1)), 0)
+    write(change(("a", 5)), 1)
+    write(change(("c", None), ("b", 0)), 2)
+    assert latest(spark, path) == {"a": 5, "b": 0, "c": None}
+    assert latest(spark, path, upto=1) == {"a": 5, "b": 1}
+
+
+def test_running_a_batch_again_replaces_it(spark, change, tmp_path):
+    path = str(tmp_path)
+    write = sinks.upsert_batch(path, ["k"], compact_every=2)
+    for _ in range(2):
+        write(change(("a", 1), ("b", 1)), 0)
+        write(change(("a", 2)), 1)
+    assert latest(spark, path) == {"a": 2, "b": 1}
+
+
+def test_snapshots_replace_the_changes_before_them(spark, change, tmp_path):
+    path = str(tmp_path)
+    write = sinks.upsert_batch(path, ["k"], compact_every=2)
+    for i in range(5):
+        write(change((f"k{i}", i), ("all", i)), i)
+    assert sorted(os.listdir(f"{path}/snapshot")) == ["batch_id=1", "batch_id=3"]
+    files = sinks.read_upserts(spark, path, ["k"]).inputFiles()
+    assert {f.split(path)[1].rsplit("/", 1)[0] for f in files} == {"/snapshot/batch_id=3", "/changes/batch_id=4"}
+    assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4, "all": 4}
+
+
+def test_unfinished_batch_is_not_read(spark, change, tmp_path):
+    path = str(tmp_path)
+    write = sinks.upsert_batch(path, ["k"])
+    write(change(("a", 1)), 0)
+    write(change(("a", 2)), 1)
+    os.rename(f"{path}/changes/batch_id=1/_SUCCESS", f"{path}/changes/batch_id=1/_unfinished")
+    assert latest(spark, path) == {"a": 1}
+
+
+def test_nothing_written(spark, tmp_path):
+    with pytest.raises(ValueError):
+        sinks.read_upserts(spark, str(tmp_path), ["k"])

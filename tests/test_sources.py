@@ -1,0 +1,71 @@
+import pytest
+
+from helpers import finish, rows
+from ledgerstream import schemas, session
+from ledgerstream.sources import bank_events, files, kafka
+from ledgerstream.streaming import jobs, sinks
+
+
+@pytest.mark.parametrize("servers", [None, "", "  "])
+def test_servers_are_required(servers):
+    with pytest.raises(ValueError):
+        kafka.source_options(servers, "t")
+    with pytest.raises(ValueError):
+        kafka.sink_options(servers)
+
+
+def test_source_options():
+    assert kafka.source_options("k:9092", "t") == {
+        "kafka.bootstrap.servers": "k:9092", "subscribe": "t", "startingOffsets": "earliest"}
+    options = kafka.source_options("k:9092", "t", "g", {"t": {"0": 5}}, 1000, 64)
+    assert options["startingOffsets"] == '{"t": {"0": 5}}' and options["groupIdPrefix"] == "g"
+    assert options["maxOffsetsPerTrigger"] == "1000" and options["minPartitions"] == "64"
+
+
+def test_sink_options():
+    assert kafka.sink_options("k:9092", "t") == {"kafka.bootstrap.servers": "k:9092", "topic": "t"}
+    assert "topic" not in kafka.sink_options("k:9092")
+    with pytest.raises(ValueError, match="at least once"):
+        kafka.sink_options("k:9092", "t", delivery="exactly_once")
+
+
+def test_settings():
+    assert jobs.settings({})["kafka.input.topic"] == "bank-event"
+    assert jobs.settings({"kafka.input.topic": "mine"})["kafka.input.topic"] == "mine"
+    assert jobs.rules({}) == jobs.AlertRules(10, 10000.0)
+
+
+@pytest.mark.parametrize("format", ["parquet", "json"])
+def test_files(spark, transactions, tmp_path, format):
+    data = transactions([("a", 1.5, 10), ("b", 2, 20)])
+    data.write.format(format).save(f"{tmp_path}/in")
+    assert rows(files.read_batch(spark, f"{tmp_path}/in", schemas.TRANSACTION, format)) == rows(data)
+    read = files.read_stream(spark, f"{tmp_path}/in", schemas.TRANSACTION, format, 1)
+    finish(sinks.append_files(read, f"{tmp_path}/out"), spark, f"files_{format}", str(tmp_path))
+    assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(data)
+
+
+def test_events_stream_reads_a_file_or_a_folder(spark, sf_dir, tmp_path):
+    events = bank_events.events(spark, sf_dir)
+    events.repartition(3).write.parquet(f"{tmp_path}/events.parquet")
+    for name, folder in (("file", sf_dir), ("folder", str(tmp_path))):
+        read = bank_events.events_stream(spark, folder, files_per_batch=2)
+        finish(sinks.append_files(read, f"{tmp_path}/{name}"), spark, name, f"{tmp_path}/{name}-progress")
+        assert spark.read.parquet(f"{tmp_path}/{name}").count() == events.count()
+
+
+def test_shared_folder_comes_from_the_session(spark):
+    assert session.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert session.run_dir(spark, "x") != session.run_dir(spark, "x")
+
+
+class FakeSession:
+    def __init__(self, **conf):
+        self.conf = conf
+
+
+def test_shared_folder_without_the_setting():
+    assert session.shared_dir(FakeSession(**{"spark.master": "local[2]"}))
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        session.shared_dir(FakeSession(**{"spark.master": "yarn"}))
+    assert session.shared_dir(FakeSession(**{"spark.checkpoint.dir": "s3a://b/c/", "spark.master": "yarn"})) == "s3a://b/c"
