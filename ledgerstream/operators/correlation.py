@@ -13,7 +13,7 @@ from ledgerstream.session import run_dir
 
 DAY_MS = 86_400_000
 MINUTE_MS = 60_000
-MONEY = "decimal(28,6)"
+UNITS = 10_000  # amounts are summed as whole ten-thousandths, exactly
 
 
 def reported_transactions(reports: DataFrame, transactions: DataFrame, hot: int = 1_000_000) -> DataFrame:
@@ -69,13 +69,13 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
 
     Running totals turn the look-back into a subtraction: the total at the report minus the total just before
     the window opens. They are taken within slices of time and then raised by the totals of the earlier
-    slices, so a busy account spreads over its slices. Amounts are summed as decimals, exactly.
+    slices, so a busy account spreads over its slices.
     """
     before, tx, after = 0, 1, 2  # order among equal times: window opens, transactions, report
     at = F.col("timestamp")
     money = transactions.select(
         "account_id", at.alias("at"), F.lit(tx).alias("kind"), F.lit(1).cast("long").alias("n"),
-        F.col("amount_transferred").cast(MONEY).alias("amount"),
+        F.round(F.col("amount_transferred") * UNITS).cast("long").alias("amount"),
         F.lit(None).cast("string").alias("report_id"), F.lit(None).cast("long").alias("reported_at"))
     probes = reports.select(
         "account_id",
@@ -83,7 +83,7 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
                           F.struct(at.alias("at"), F.lit(after).alias("kind")))).alias("p"),
         "report_id", at.alias("reported_at"),
     ).select("account_id", "p.at", "p.kind", F.lit(0).cast("long").alias("n"),
-             F.lit(0).cast(MONEY).alias("amount"), "report_id", "reported_at")
+             F.lit(0).cast("long").alias("amount"), "report_id", "reported_at")
     points = money.union(probes).withColumn("slice", F.col("at") - F.pmod("at", F.lit(slice_ms)))
 
     within = (Window.partitionBy("account_id", "slice").orderBy("at", "kind")
@@ -105,4 +105,4 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
     return (local.join(offsets, ["account_id", "slice"])
             .groupBy("report_id", "account_id", "reported_at")
             .agg(difference("local_n", "offset_n").alias("transaction_count"),
-                 difference("local_amount", "offset_amount").cast("double").alias("total_amount")))
+                 (difference("local_amount", "offset_amount") / UNITS).alias("total_amount")))

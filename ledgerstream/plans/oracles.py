@@ -53,7 +53,8 @@ select account_id,
             else 'MEDIUM: Suspicious transaction types (' || k || ' transactions)' end reason,
        case when n > {count} and s > {amount} then 4 when s > {amount} then 3 else 2 end urgency_level,
        ws window_start, ws + {window_ms} window_end, n transaction_count, round(s, 2) total_amount
-from (select account_id, (ms // {window_ms}) * {window_ms} ws, cast(count(*) as int) n, sum(amount_transferred) s,
+from (select account_id, (ms // {window_ms}) * {window_ms} ws, cast(count(*) as int) n,
+             round(sum(amount_transferred), 6) s,
              {watched_count} k
       from {source} group by 1, 2)
 where (n > {count} or s > {amount} or k > {max_watched}) and {where}
@@ -108,7 +109,7 @@ ORACLES: dict[str, str] = {
     "account_history": _WITH + """
         select account_id, count(*) transaction_count, round(sum(amount_transferred), 2) total_amount,
                min(amount_transferred) min_amount, max(amount_transferred) max_amount,
-               round(avg(amount_transferred), 4) avg_amount, round(stddev_samp(amount_transferred), 4) stddev_amount,
+               round(avg(amount_transferred), 9) avg_amount, round(stddev_samp(amount_transferred), 9) stddev_amount,
                min(ms) first_seen, max(ms) last_seen
         from tx group by account_id""",
     "fraud_windows": _WITH + """

@@ -161,6 +161,11 @@ def _source_view(transactions: DataFrame) -> str:
     return name
 
 
+def _drop_views(spark: SparkSession, properties: dict[str, str]) -> None:
+    for view in ("transactions", properties["balance.source.view"]):
+        spark.catalog.dropTempView(view)
+
+
 @_register
 def account_balances_sql(spark, sf_dir):
     out = run_dir(spark, "account_balances_sql")
@@ -173,6 +178,8 @@ def account_balances_sql(spark, sf_dir):
         "balance.sink.path": f"{out}/table",
     }
     sqljobs.run(spark, properties)
+    spark.sql(f"DROP TABLE {properties['balance.sink.table']}")  # the files stay
+    _drop_views(spark, properties)
     return _cents(spark.read.parquet(properties["balance.sink.path"]), "total_balance")
 
 
@@ -187,6 +194,7 @@ def account_balances_sql_stream(spark, sf_dir):
     query = sqljobs.start(spark, properties, lambda df: sinks.upsert_files(df, f"{out}/table", ["account_id"]),
                           checkpoint=f"{out}/checkpoint", available_now=True)
     query.awaitTermination()
+    _drop_views(spark, properties)
     return _cents(sinks.read_upserts(spark, f"{out}/table", ["account_id"]), "total_balance")
 
 
@@ -207,7 +215,7 @@ def account_balance_messages(spark, sf_dir):
 @_register
 def account_history(spark, sf_dir):
     return _cents(_cents(balances.account_history(_transactions(spark, sf_dir)), "total_amount"),
-                  "avg_amount", "stddev_amount", digits=4)
+                  "avg_amount", "stddev_amount", digits=9)
 
 
 # Alerts

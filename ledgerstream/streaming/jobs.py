@@ -65,13 +65,18 @@ def _launch(writer: DataStreamWriter, spark: SparkSession, name: str, p: Propert
     return start(writer, spark, name, p.get("checkpoint.dir"), int(p["checkpoint.interval.ms"]))
 
 
+def _read(spark: SparkSession, p: Properties, topic: str, group: str) -> DataFrame:
+    """A topic's messages; the two optional limits size a micro-batch and its tasks."""
+    limits = [int(p[key]) if key in p else None for key in ("kafka.max.offsets.per.trigger", "kafka.min.partitions")]
+    return kafka.read_stream(spark, p["kafka.bootstrap.servers"], topic, group, "earliest", *limits)
+
+
 def start_event_router(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
                        transaction_id: int, fraud_report_id: int, codec: str = "avro") -> StreamingQuery:
     """Mixed events from one topic to one topic per type, by a single query."""
     p = settings(properties)
     configure(spark)
-    messages = kafka.read_stream(spark, p["kafka.bootstrap.servers"], p["kafka.input.topic"],
-                                 p["kafka.consumer.group.id"])
+    messages = _read(spark, p, p["kafka.input.topic"], p["kafka.consumer.group.id"])
     outputs = router.Outputs(transaction_id, fraud_report_id, p["kafka.transaction.topic"],
                              p["kafka.fraud-report.topic"], p.get("kafka.dead-letter.topic"))
     routed = router.route_messages(messages, writers, outputs, codec)
@@ -80,7 +85,7 @@ def start_event_router(spark: SparkSession, properties: Properties, writers: Map
 
 def _topic_transactions(spark: SparkSession, p: Properties, topic: str, group: str,
                         writers: Mapping[int, Writer], codec: str) -> DataFrame:
-    messages = kafka.read_stream(spark, p["kafka.bootstrap.servers"], topic, group)
+    messages = _read(spark, p, topic, group)
     return envelope.records(envelope.decode(messages, writers, "Transaction", codec))
 
 

@@ -47,6 +47,14 @@ def test_negative_and_zero_amounts_count(transactions):
     assert rows(found, "transaction_count", "total_amount") == [(3, 2.0)]
 
 
+def test_total_of_exactly_the_threshold_never_fires(transactions):
+    """0.1 + 0.2 + ... does not sum to a whole number in doubles."""
+    data = transactions([("a", 0.1, BASE)] * 3)
+    assert alerts.account_windows(data).first().total_amount > 0.3
+    assert alerts.alerts(data, rules=AlertRules(max_amount=0.3)).count() == 0
+    assert alerts.alerts(data, rules=AlertRules(max_amount=0.29)).count() == 1
+
+
 def test_one_minute_window(transactions):
     data = transactions(spaced("a", 11, 1, step=10_000))
     assert alerts.alerts(data).count() == 1
