@@ -3,28 +3,40 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 _BATCH = "batch_id"
-_CHANGES, _SNAPSHOT = "changes", "snapshot"
+_CHANGES, _SNAPSHOT, _SEGMENT = "changes", "snapshot", "segment"
+# Batches per folder of changes: a reader lists the folders since the newest snapshot, however old the table is.
+_SEGMENT_BATCHES = 1000
 
 
-def _committed(spark: SparkSession, root: str) -> list[int]:
-    """Batch ids under ``root`` whose write was finished."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{root}/{_BATCH}=*/_SUCCESS")
-    found = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(pattern) or []
-    return sorted(int(status.getPath().getParent().getName().split("=")[1]) for status in found)
+def _glob(spark: SparkSession, pattern: str) -> list[str]:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).globStatus(path) or []
+    return [status.getPath().toString() for status in found]
 
 
-def _read(spark: SparkSession, root: str, ids: Sequence[int]) -> DataFrame:
-    return spark.read.option("basePath", root).parquet(*(f"{root}/{_BATCH}={i}" for i in ids))
+def _number(folder: str) -> int:
+    return int(folder.rstrip("/").rsplit("=", 1)[1])
 
 
-def _write(rows: DataFrame, root: str, batch_id: int) -> None:
-    rows.write.mode("overwrite").parquet(f"{root}/{_BATCH}={batch_id}")
+def _newest_snapshot(spark: SparkSession, path: str, before: int | None) -> int:
+    """Batch id of the newest finished snapshot, or -1."""
+    ids = sorted((_number(f) for f in _glob(spark, f"{path}/{_SNAPSHOT}/{_BATCH}=*")), reverse=True)
+    return next((i for i in ids if (before is None or i < before)
+                 and _glob(spark, f"{path}/{_SNAPSHOT}/{_BATCH}={i}/_SUCCESS")), -1)
+
+
+def _changes_after(spark: SparkSession, path: str, after: int, upto: int | None) -> list[str]:
+    """Folders of the finished batches after ``after``."""
+    segments = [s for s in _glob(spark, f"{path}/{_CHANGES}/{_SEGMENT}=*")
+                if _number(s) >= (after + 1) // _SEGMENT_BATCHES]
+    done = [f.rsplit("/", 1)[0] for s in segments for f in _glob(spark, f"{s}/{_BATCH}=*/_SUCCESS")]
+    return [f for f in done if _number(f) > after and (upto is None or _number(f) <= upto)]
 
 
 def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], upto: int | None = None) -> DataFrame:
@@ -32,14 +44,16 @@ def read_upserts(spark: SparkSession, path: str, keys: Sequence[str], upto: int
 
     ``upto`` is the last batch to include; the snapshot is then one taken before that batch.
     """
-    changes, snapshot = f"{path}/{_CHANGES}", f"{path}/{_SNAPSHOT}"
-    snapshots = [i for i in _committed(spark, snapshot) if upto is None or i < upto][-1:]
-    after = snapshots[0] if snapshots else -1
-    newer = [i for i in _committed(spark, changes) if i > after and (upto is None or i <= upto)]
-    parts = ([_read(spark, snapshot, snapshots)] if snapshots else []) + ([_read(spark, changes, newer)] if newer else [])
+    def read(root: str, folders: list[str]) -> DataFrame:
+        return spark.read.option("basePath", f"{path}/{root}").parquet(*folders).drop(_SEGMENT)
+
+    snapshot = _newest_snapshot(spark, path, upto)
+    changes = _changes_after(spark, path, snapshot, upto)
+    parts = [read(_SNAPSHOT, [f"{path}/{_SNAPSHOT}/{_BATCH}={snapshot}"])] if snapshot >= 0 else []
+    parts += [read(_CHANGES, changes)] if changes else []
     if not parts:
         raise ValueError(f"nothing has been written to {path}")
-    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    rows = reduce(DataFrame.unionByName, parts)
     values = [c for c in rows.columns if c not in (*keys, _BATCH)]
     return rows.groupBy(*keys).agg(*(F.max_by(c, _BATCH).alias(c) for c in values))
 
@@ -52,10 +66,11 @@ def upsert_batch(path: str, keys: Sequence[str], compact_every: int = 100) -> Ca
     snapshot, which bounds what a reader has to merge. A key may occur once per batch.
     """
     def write(changes: DataFrame, batch_id: int) -> None:
-        _write(changes, f"{path}/{_CHANGES}", batch_id)
+        segment = f"{_SEGMENT}={batch_id // _SEGMENT_BATCHES}"
+        changes.write.mode("overwrite").parquet(f"{path}/{_CHANGES}/{segment}/{_BATCH}={batch_id}")
         if (batch_id + 1) % compact_every == 0:
             latest = read_upserts(changes.sparkSession, path, keys, batch_id)
-            _write(latest, f"{path}/{_SNAPSHOT}", batch_id)
+            latest.write.mode("overwrite").parquet(f"{path}/{_SNAPSHOT}/{_BATCH}={batch_id}")
     return write
 
 

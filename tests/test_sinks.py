@@ -41,16 +41,38 @@ def test_snapshots_replace_the_changes_before_them(spark, change, tmp_path):
         write(change((f"k{i}", i), ("all", i)), i)
     assert sorted(os.listdir(f"{path}/snapshot")) == ["batch_id=1", "batch_id=3"]
     files = sinks.read_upserts(spark, path, ["k"]).inputFiles()
-    assert {f.split(path)[1].rsplit("/", 1)[0] for f in files} == {"/snapshot/batch_id=3", "/changes/batch_id=4"}
+    assert {f.split(path)[1].rsplit("/", 1)[0] for f in files} == {"/snapshot/batch_id=3", "/changes/segment=0/batch_id=4"}
     assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4, "all": 4}
 
 
+def test_unfinished_snapshot_is_not_read(spark, change, tmp_path):
+    path = str(tmp_path)
+    write = sinks.upsert_batch(path, ["k"], compact_every=2)
+    for i in range(4):
+        write(change((f"k{i}", i)), i)
+    os.rename(f"{path}/snapshot/batch_id=3/_SUCCESS", f"{path}/snapshot/batch_id=3/_unfinished")
+    assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3}
+
+
+def test_a_reader_lists_only_recent_segments(spark, change, tmp_path, monkeypatch):
+    path = str(tmp_path)
+    monkeypatch.setattr(sinks, "_SEGMENT_BATCHES", 2)
+    write = sinks.upsert_batch(path, ["k"], compact_every=3)
+    for i in range(7):
+        write(change((f"k{i}", i)), i)
+    listed = []
+    glob = sinks._glob
+    monkeypatch.setattr(sinks, "_glob", lambda spark, pattern: listed.append(pattern) or glob(spark, pattern))
+    assert latest(spark, path) == {f"k{i}": i for i in range(7)}
+    assert not [p for p in listed if "segment=0" in p or "segment=1" in p or "segment=2" in p]
+
+
 def test_unfinished_batch_is_not_read(spark, change, tmp_path):
     path = str(tmp_path)
     write = sinks.upsert_batch(path, ["k"])
     write(change(("a", 1)), 0)
     write(change(("a", 2)), 1)
-    os.rename(f"{path}/changes/batch_id=1/_SUCCESS", f"{path}/changes/batch_id=1/_unfinished")
+    os.rename(f"{path}/changes/segment=0/batch_id=1/_SUCCESS", f"{path}/changes/segment=0/batch_id=1/_unfinished")
     assert latest(spark, path) == {"a": 1}
 
 
