@@ -72,42 +72,53 @@ def _read(spark: SparkSession, p: Properties, topic: str, group: str) -> DataFra
 
 
 def start_event_router(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                       transaction_id: int, fraud_report_id: int, codec: str = "avro") -> StreamingQuery:
+                       transaction_id: int, fraud_report_id: int, codec: str = "avro",
+                       reader: str | None = None) -> StreamingQuery:
     """Mixed events from one topic to one topic per type, by a single query."""
     p = settings(properties)
     configure(spark)
     messages = _read(spark, p, p["kafka.input.topic"], p["kafka.consumer.group.id"])
     outputs = router.Outputs(transaction_id, fraud_report_id, p["kafka.transaction.topic"],
                              p["kafka.fraud-report.topic"], p.get("kafka.dead-letter.topic"))
-    routed = router.route_messages(messages, writers, outputs, codec)
+    routed = router.route_messages(messages, writers, outputs, codec, reader=reader)
     return _launch(kafka.write_stream(routed, p["kafka.bootstrap.servers"]), spark, "Bank Event Router", p)
 
 
-def _topic_transactions(spark: SparkSession, p: Properties, topic: str, group: str,
-                        writers: Mapping[int, Writer], codec: str) -> DataFrame:
-    messages = _read(spark, p, topic, group)
-    return envelope.records(envelope.decode(messages, writers, "Transaction", codec))
+def topic_transactions(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
+                       topic_key: str = "balance.source.topic", group_key: str = "balance.consumer.group.id",
+                       codec: str = "avro", reader: str | None = None) -> DataFrame:
+    """Transactions from the topic the settings name; register it as a view to use it in a SQL job."""
+    p = settings(properties)
+    messages = _read(spark, p, p[topic_key], p[group_key])
+    return envelope.records(envelope.decode(messages, writers, "Transaction", codec, reader))
+
+
+def topic_balances(changes: DataFrame, properties: Properties, key_id: int, value_id: int,
+                   codec: str = "avro") -> DataStreamWriter:
+    """Writer of balances to the compacted topic the settings name, keyed by account."""
+    p = settings(properties)
+    out = envelope.balance_messages(changes, key_id, value_id, codec)
+    return kafka.write_stream(out, p["kafka.bootstrap.servers"], p["balance.sink.topic"], mode="update")
 
 
 def start_fraud_alerts(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                       alert_id: int, codec: str = "avro") -> StreamingQuery:
+                       alert_id: int, codec: str = "avro", reader: str | None = None) -> StreamingQuery:
     """Routed transactions to alerts."""
     p = settings(properties)
     configure(spark)
-    transactions = _topic_transactions(spark, p, p["kafka.transaction.topic"], p["kafka.consumer.group.id"],
-                                       writers, codec)
+    transactions = topic_transactions(spark, p, writers, "kafka.transaction.topic", "kafka.consumer.group.id",
+                                      codec, reader)
     out = envelope.messages(fraud_alerts(transactions, p), "Alert", alert_id, codec)
     writer = kafka.write_stream(out, p["kafka.bootstrap.servers"], p["kafka.output.topic"])
     return _launch(writer, spark, "Fraud Alerts", p)
 
 
 def start_account_balances(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                           key_id: int, value_id: int, codec: str = "avro") -> StreamingQuery:
+                           key_id: int, value_id: int, codec: str = "avro",
+                           reader: str | None = None) -> StreamingQuery:
     """Routed transactions to a compacted topic of balances keyed by account."""
     p = settings(properties)
     configure(spark)
-    transactions = _topic_transactions(spark, p, p["balance.source.topic"], p["balance.consumer.group.id"],
-                                       writers, codec)
-    out = envelope.balance_messages(balances.account_balances(transactions), key_id, value_id, codec)
-    writer = kafka.write_stream(out, p["kafka.bootstrap.servers"], p["balance.sink.topic"], mode="update")
+    transactions = topic_transactions(spark, p, writers, codec=codec, reader=reader)
+    writer = topic_balances(balances.account_balances(transactions), p, key_id, value_id, codec)
     return _launch(writer, spark, "Account Balances", p)

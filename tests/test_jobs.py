@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from helpers import MINUTE, rows
 from ledgerstream.operators import envelope
 from ledgerstream.operators.envelope import Writer
+from ledgerstream.plans import sqljobs
 from ledgerstream.sources import kafka
 from ledgerstream.streaming import jobs
 
@@ -80,3 +81,17 @@ def test_account_balances(spark, transactions, topics):
     run(jobs.start_account_balances(spark, settings(topics), WRITERS, 8, 9, "json"))
     totals = [json.loads(bytes(r.value[5:]))["total_balance"] for r in sent(spark, topics, "account-balances").collect()]
     assert sorted(totals) == [1.0, 3.0, 7.0]
+
+
+def test_balances_as_a_sql_job_on_topics(spark, transactions, topics):
+    for amount in (1, 2, 4):
+        publish(envelope.messages(transactions([("a", amount, amount)]), "Transaction", 2, "json"), topics, "transactions")
+    p = settings(topics, **{
+        "sql.files": "balance_stream/01_source_transactions.sql,balance_stream/02_logic_aggregation.sql",
+        "balance.source.view": "topic_transactions"})
+    jobs.topic_transactions(spark, p, WRITERS, codec="json").createOrReplaceTempView("topic_transactions")
+    query = sqljobs.start(spark, p, lambda changes: jobs.topic_balances(changes, p, 8, 9, "json"),
+                          checkpoint=p["checkpoint.dir"], available_now=True)
+    query.awaitTermination()
+    totals = [json.loads(bytes(r.value[5:]))["total_balance"] for r in sent(spark, topics, "account-balances").collect()]
+    assert sorted(totals) == [1.0, 3.0, 7.0]
