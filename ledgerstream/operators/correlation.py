@@ -16,20 +16,27 @@ MINUTE_MS = 60_000
 UNITS = 10_000  # amounts are summed as whole ten-thousandths, exactly
 
 
+def _frequent(rows: DataFrame, key: str, hot: int) -> DataFrame:
+    """Values of ``key`` on more than ``hot`` rows, with their number of rows; at most ``rows / hot`` of them.
+
+    They are written out first: Spark then knows the size of the list and broadcasts it only where it is small.
+    """
+    spark = rows.sparkSession
+    found = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot)
+    folder = run_dir(spark, "frequent")
+    found.write.parquet(folder)
+    return spark.read.schema(found.schema).parquet(folder)
+
+
 def reported_transactions(reports: DataFrame, transactions: DataFrame, hot: int = 1_000_000) -> DataFrame:
     """Each report with the transaction it names, if there is one (batch).
 
     Copies of a transaction count once. A transaction named by more than ``hot`` reports is repeated, so that
-    its reports spread over several tasks. The list of such transactions, at most ``reports / hot``, is
-    written out first: Spark then knows its size and broadcasts it only where it is small.
+    its reports spread over several tasks.
     """
     named = reports.select("transaction_id", "report_id", "risk_level", F.col("timestamp").alias("reported_at"))
-    crowded = (named.groupBy("transaction_id").agg(F.count("*").alias("n")).filter(F.col("n") > hot)
+    crowded = (_frequent(named, "transaction_id", hot)
                .select("transaction_id", F.ceil(F.col("n") / hot).cast("int").alias("parts")))
-    folder = run_dir(reports.sparkSession, "crowded")
-    crowded.write.parquet(folder)
-    crowded = reports.sparkSession.read.schema(crowded.schema).parquet(folder)
-
     parts = F.coalesce("parts", F.lit(1))
     left = (named.join(crowded, "transaction_id", "left")
             .withColumn("part", F.pmod(F.xxhash64("report_id"), parts).cast("int")).drop("parts"))
@@ -64,12 +71,13 @@ def reported_transactions_stream(reports: DataFrame, transactions: DataFrame, lo
 
 
 def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: int = DAY_MS,
-                    slice_ms: int = MINUTE_MS) -> DataFrame:
+                    slice_ms: int = MINUTE_MS, hot: int = 1_000_000) -> DataFrame:
     """Count and total of the account's transactions in the ``lookback_ms`` up to each report (batch).
 
     Running totals turn the look-back into a subtraction: the total at the report minus the total just before
-    the window opens. They are taken within slices of time and then raised by the totals of the earlier
-    slices, so a busy account spreads over its slices.
+    the window opens. For an account with more than ``hot`` rows they are taken within slices of time and then
+    raised by the totals of the earlier slices, so that its slices spread over tasks. Copies of a report count
+    once.
     """
     before, tx, after = 0, 1, 2  # order among equal times: window opens, transactions, report
     at = F.col("timestamp")
@@ -84,7 +92,10 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
         "report_id", at.alias("reported_at"),
     ).select("account_id", "p.at", "p.kind", F.lit(0).cast("long").alias("n"),
              F.lit(0).cast("long").alias("amount"), "report_id", "reported_at")
-    points = money.union(probes).withColumn("slice", F.col("at") - F.pmod("at", F.lit(slice_ms)))
+    busy = _frequent(transactions.select("account_id").union(reports.select("account_id")), "account_id", hot)
+    slice_start = F.col("at") - F.pmod("at", F.lit(slice_ms))
+    points = (money.union(probes).join(busy.withColumnRenamed("n", "rows"), "account_id", "left")
+              .withColumn("slice", F.when(F.col("rows").isNotNull(), slice_start)).drop("rows"))
 
     within = (Window.partitionBy("account_id", "slice").orderBy("at", "kind")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -93,16 +104,16 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
              .filter(F.col("kind") != tx))
     earlier = (Window.partitionBy("account_id").orderBy("slice")
                .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (points.groupBy("account_id", "slice").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
-               .select("account_id", "slice",
-                       F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("offset_n"),
-                       F.coalesce(F.sum("amount").over(earlier), F.lit(0)).alias("offset_amount")))
+    offsets = (points.filter("slice is not null")
+               .groupBy("account_id", "slice").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+               .select("account_id", "slice", F.sum("n").over(earlier).alias("offset_n"),
+                       F.sum("amount").over(earlier).alias("offset_amount")))
 
     def difference(local_column: str, offset_column: str):
-        running = F.col(local_column) + F.col(offset_column)
+        running = F.col(local_column) + F.coalesce(offset_column, F.lit(0))
         return (F.max(F.when(F.col("kind") == after, running)) - F.max(F.when(F.col("kind") == before, running)))
 
-    return (local.join(offsets, ["account_id", "slice"])
+    return (local.join(offsets, ["account_id", "slice"], "left")
             .groupBy("report_id", "account_id", "reported_at")
             .agg(difference("local_n", "offset_n").alias("transaction_count"),
                  (difference("local_amount", "offset_amount") / UNITS).alias("total_amount")))

@@ -34,9 +34,10 @@ def subject(topic: str, part: str = "value") -> str:
     return f"{topic}-{part}"
 
 
-def _decode_avro(payload: Column, schema_id: Column, writers: Mapping[int, Writer], reader: str | None) -> Column:
+def _decode_avro(payload: Column, writers: Mapping[int, Writer], reader: str | None) -> Column:
     options = {"mode": "PERMISSIVE"} | ({"avroSchema": reader} if reader else {})
-    return F.coalesce(*(F.when(schema_id == i, from_avro(payload, w.avro, options)) for i, w in writers.items()))
+    return F.coalesce(*(F.when(frames.written_by("value", [i]), from_avro(payload, writer.avro, options))
+                        for i, writer in writers.items()))
 
 
 def _decode_json(payload: Column, struct: T.StructType) -> Column:
@@ -57,19 +58,18 @@ def decode(messages: DataFrame, writers: Mapping[int, Writer], record: str = "Ba
     if not expected:
         raise ValueError(f"no writer schema for {record}")
 
-    schema_id = frames.schema_id("value")
-    readable = frames.is_framed("value") & schema_id.isin(*expected)
+    readable = frames.written_by("value", expected)
     payload = frames.payload("value")
     decoded = (_decode_json(payload, struct) if codec == "json"
-               else _decode_avro(payload, schema_id, expected, reader))
+               else _decode_avro(payload, expected, reader))
 
     fields = [F.col("_decoded").getField(name) for name in struct.fieldNames()]
     empty = reduce(and_, (f.isNull() for f in fields))
     broken = empty | F.col("_decoded").getField(_CORRUPT).isNotNull() if codec == "json" else empty
     error = (F.when(F.col("value").isNull(), "null_value")
              .when(~frames.is_framed("value"), "bad_frame")
-             .when(~schema_id.isin(*writers), "unknown_schema")
-             .when(~schema_id.isin(*expected), "wrong_record")
+             .when(~frames.written_by("value", writers), "unknown_schema")
+             .when(~readable, "wrong_record")
              .when(broken, "decode_error"))
     # The metrics also keep later filters above the decoding, so that a message is decoded once.
     return (messages.select("value", F.when(readable, decoded).alias("_decoded"))

@@ -16,8 +16,10 @@ def reports(spark):
     return make
 
 
+@pytest.mark.parametrize("hot", [0, 55, 1000])
 @pytest.mark.parametrize("lookback, slice_ms", [(100, 10), (100, 1000), (7, 50), (1000, 1)])
-def test_activity_against_brute_force(transactions, reports, lookback, slice_ms):
+def test_activity_against_brute_force(transactions, reports, lookback, slice_ms, hot):
+    """With every account, some accounts and no account cut into slices."""
     rng = random.Random(lookback)
     tx = [(f"k{rng.randrange(3)}", rng.randrange(1, 9), rng.randrange(300)) for _ in range(150)]
     fr = [(f"r{i}", "-", f"k{rng.randrange(4)}", rng.randrange(300)) for i in range(40)]
@@ -25,7 +27,7 @@ def test_activity_against_brute_force(transactions, reports, lookback, slice_ms)
     for r, _, account, ms in fr:
         near = [a for k, a, t in tx if k == account and ms - lookback <= t <= ms]
         expected.append((r, account, ms, len(near), float(sum(near))))
-    found = correlation.activity_before(reports(fr), transactions(tx), lookback, slice_ms)
+    found = correlation.activity_before(reports(fr), transactions(tx), lookback, slice_ms, hot)
     assert rows(found, "report_id", "account_id", "reported_at", "transaction_count", "total_amount") == sorted(
         expected, key=repr)
 

@@ -30,6 +30,7 @@ def test_frame_parts(spark, values):
     got = df.select(frames.is_framed("value"), frames.schema_id("value"), frames.payload("value")).collect()
     assert tuple(got[0]) == (True, 258, bytearray(b"abc"))
     assert [r[0] for r in got] == [True, False, False, None]
+    assert [r[0] for r in df.select(frames.written_by("value", [1, 258])).collect()] == [True, False, False, None]
 
 
 def test_frame_and_back(spark):

@@ -2,7 +2,10 @@ import os
 
 import pytest
 
-from helpers import rows
+from pyspark.errors import StreamingQueryException
+
+from helpers import finish, rows, stream, write_file
+from ledgerstream.operators import balances
 from ledgerstream.streaming import sinks
 
 
@@ -45,6 +48,29 @@ def test_snapshots_replace_the_changes_before_them(spark, change, tmp_path):
     assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4, "all": 4}
 
 
+def test_a_query_that_dies_after_a_write_goes_on_where_it_was(spark, transactions, tmp_path):
+    """The failed batch is run again on restart and its rows count once."""
+    for amount in (1, 2, 4, 8):
+        write_file(transactions([("a", amount, amount), (f"k{amount}", 1, 1)]), f"{tmp_path}/in")
+    changes = balances.account_balances(stream(spark, f"{tmp_path}/in"))
+    write = sinks.upsert_batch(f"{tmp_path}/table", ["account_id"], compact_every=2)
+    failures = [1, 3]
+
+    def dying(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id in failures:
+            failures.remove(batch_id)
+            raise RuntimeError("lost")
+
+    for _ in range(2):
+        with pytest.raises(StreamingQueryException):
+            finish(changes.writeStream.outputMode("update").foreachBatch(dying), spark, "dying", str(tmp_path))
+    finish(changes.writeStream.outputMode("update").foreachBatch(dying), spark, "dying", str(tmp_path))
+    table = sinks.read_upserts(spark, f"{tmp_path}/table", ["account_id"])
+    assert rows(table, "account_id", "total_balance") == [
+        ("a", 15.0), ("k1", 1.0), ("k2", 1.0), ("k4", 1.0), ("k8", 1.0)]
+
+
 def test_unfinished_snapshot_is_not_read(spark, change, tmp_path):
     path = str(tmp_path)
     write = sinks.upsert_batch(path, ["k"], compact_every=2)
