@@ -63,6 +63,11 @@ def _streamed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bank_events.transactions(bank_events.events_stream(spark, sf_dir))
 
 
+def _read_back(spark: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """What a stream of ``rows`` wrote, also where that is nothing."""
+    return spark.read.schema(rows.schema).parquet(path)
+
+
 def _finish(writer: DataStreamWriter, spark: SparkSession, name: str, folder: str) -> None:
     """Work off the whole table as a stream."""
     jobs.start(writer, spark, name, f"{folder}/checkpoint", available_now=True).awaitTermination()
@@ -96,9 +101,9 @@ def route_stream(spark, sf_dir):
     """The router as one streaming query with a folder per topic."""
     out = run_dir(spark, "route_stream")
     envelopes = bank_events.corrupted_envelopes(bank_events.events_stream(spark, sf_dir))
-    _finish(sinks.append_files(routing.classify(envelopes), f"{out}/topics", by=["topic"]),
-            spark, "route_stream", out)
-    return spark.read.parquet(f"{out}/topics").select(
+    routed = routing.classify(envelopes)
+    _finish(sinks.append_files(routed, f"{out}/topics", by=["topic"]), spark, "route_stream", out)
+    return _read_back(spark, routed, f"{out}/topics").select(
         "event_id", "topic", "reject_reason", "metadata.event_type",
         F.coalesce("body.member0.account_id", "body.member1.account_id").alias("account_id"))
 
@@ -251,7 +256,7 @@ def fraud_alerts_stream(spark, sf_dir):
     out = run_dir(spark, "fraud_alerts_stream")
     found = alerts.alerts(_streamed(spark, sf_dir), SCALED_WINDOW, SCALED_RULES)
     _finish(sinks.append_files(found, f"{out}/alerts"), spark, "fraud_alerts_stream", out)
-    return _cents(spark.read.parquet(f"{out}/alerts"), "total_amount")
+    return _cents(_read_back(spark, found, f"{out}/alerts"), "total_amount")
 
 
 # Bursts and correlation
@@ -266,7 +271,7 @@ def account_sessions_stream(spark, sf_dir):
     out = run_dir(spark, "account_sessions_stream")
     found = sessions.sessions(_streamed(spark, sf_dir))
     _finish(sinks.append_files(found, f"{out}/sessions"), spark, "account_sessions_stream", out)
-    return _cents(spark.read.parquet(f"{out}/sessions"), "total_amount")
+    return _cents(_read_back(spark, found, f"{out}/sessions"), "total_amount")
 
 
 def _naming_the_previous_event(reports: DataFrame) -> DataFrame:
@@ -286,7 +291,7 @@ def reported_transactions_stream(spark, sf_dir):
     reports = bank_events.fraud_reports(bank_events.events_stream(spark, sf_dir))
     found = correlation.reported_transactions_stream(_naming_the_previous_event(reports), _streamed(spark, sf_dir))
     _finish(sinks.append_files(found, f"{out}/found"), spark, "reported_transactions_stream", out)
-    return spark.read.parquet(f"{out}/found")
+    return _read_back(spark, found, f"{out}/found")
 
 
 @_register
