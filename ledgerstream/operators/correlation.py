@@ -61,8 +61,9 @@ def reported_transactions_stream(reports: DataFrame, transactions: DataFrame, lo
                                          eventtime.from_millis().alias("report_ts")), delay, "report_ts")
     t = eventtime.bounded(transactions.select("id", "account_id", "amount_transferred",
                                               eventtime.from_millis().alias("ts")), delay)
-    t = (t.dropDuplicatesWithinWatermark(["id"])
-         .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long")))))
+    # Copies are dropped per part, so that the join finds its rows already in place.
+    t = (t.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+         .dropDuplicatesWithinWatermark(["id", "part"]))
     recent = F.col("ts").between(F.col("report_ts") - F.expr(f"interval {lookback}"), F.col("report_ts"))
     return (r.join(t, (F.col("named") == F.col("id")) & (F.col("report_part") == F.col("part")) & recent)
             .select("report_id", F.col("id").alias("transaction_id"), "risk_level", "account_id",
