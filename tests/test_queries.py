@@ -6,8 +6,10 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from ledgerstream.plans import oracles, queries
 
-QUERIES = driver.queries()
+ORACLES = oracles.ORACLES
+QUERIES = queries.QUERIES
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
               "timestamp_ntz": "TIMESTAMP"}
 
@@ -29,14 +31,15 @@ def comparable(records):
 
 
 def test_every_query_has_its_sql():
-    assert QUERIES.keys() == driver.oracle_sql().keys()
+    assert QUERIES.keys() == ORACLES.keys()
+    assert QUERIES.keys() <= driver.queries().keys() and ORACLES.keys() <= driver.oracle_sql().keys()
 
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query(spark, sf_dir, duck, name):
     found = QUERIES[name](spark, sf_dir)
     columns = sorted(found.columns)
-    relation = duck.sql(driver.oracle_sql()[name])
+    relation = duck.sql(ORACLES[name])
     types = dict(zip(relation.columns, map(str, relation.types)))
     assert {c: DUCK_TYPES[t] for c, t in found.dtypes} == types
     expected = relation.select(*columns).fetchall()
