@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstream.llm import decontam, langid, mixing, sharding, simhash
+from ledgerstream.llm import decontam, htmltext, langid, licences, mixing, sharding, simhash, urls
 from ledgerstream.llm.common import remainder
 
 SHARDS = 40
@@ -26,6 +26,16 @@ def op2_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shards(_table(spark, sf_dir, "documents"), SHARDS)
 
 
+def op3_tag_path_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = _table(spark, sf_dir, "pages").select("page_id", "url", htmltext.extract(F.col("html")).alias("text"))
+    return text.select("*", F.char_length("text").cast("long").alias("n_chars"))
+
+
+def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _table(spark, sf_dir, "documents").select("doc_id", licences.scan(F.col("text")).alias("found"))
+    return found.select("doc_id", "found.*")
+
+
 def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each benchmark item that a document holds."""
     held = decontam.contamination(_table(spark, sf_dir, "benchmark"), F.col("text"))
@@ -33,6 +43,10 @@ def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", F.inline("held")))
 
 
+def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(_table(spark, sf_dir, "pages"))
+
+
 def op9_simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -45,5 +59,6 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_poisson_mixing, op2_byte_shards, op6_cgk_decontamination, op9_simhash_index,
-                            op10_hyperdimensional_langid)}
+    f.__name__: f for f in (
+        op1_poisson_mixing, op2_byte_shards, op3_tag_path_text, op4_licence_scan, op6_cgk_decontamination,
+        op7_url_verdicts, op9_simhash_index, op10_hyperdimensional_langid)}
