@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstream.llm import decontam, htmltext, langid, licences, mixing, sharding, simhash, urls
+from ledgerstream.llm import decontam, htmltext, langid, licences, mixing, sharding, simhash, urls, vectors
 from ledgerstream.llm.common import remainder
 
 SHARDS = 40
@@ -36,6 +36,10 @@ def op4_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "found.*")
 
 
+def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectors.nearest(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each benchmark item that a document holds."""
     held = decontam.contamination(_table(spark, sf_dir, "benchmark"), F.col("text"))
@@ -60,5 +64,5 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
-        op1_poisson_mixing, op2_byte_shards, op3_tag_path_text, op4_licence_scan, op6_cgk_decontamination,
-        op7_url_verdicts, op9_simhash_index, op10_hyperdimensional_langid)}
+        op1_poisson_mixing, op2_byte_shards, op3_tag_path_text, op4_licence_scan, op5_learned_partitions,
+        op6_cgk_decontamination, op7_url_verdicts, op9_simhash_index, op10_hyperdimensional_langid)}
