@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstream.llm import decontam, htmltext, langid, licences, mixing, sharding, simhash, urls, vectors
+from ledgerstream.llm import decontam, htmltext, langid, licences, lm, mixing, sharding, simhash, urls, vectors
 from ledgerstream.llm.common import remainder
 
 SHARDS = 40
@@ -51,6 +51,10 @@ def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(_table(spark, sf_dir, "pages"))
 
 
+def op8_gru_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"), remainder("doc_id", 7) == 2)
+
+
 def op9_simhash_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -65,4 +69,5 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_poisson_mixing, op2_byte_shards, op3_tag_path_text, op4_licence_scan, op5_learned_partitions,
-        op6_cgk_decontamination, op7_url_verdicts, op9_simhash_index, op10_hyperdimensional_langid)}
+        op6_cgk_decontamination, op7_url_verdicts, op8_gru_scores, op9_simhash_index,
+        op10_hyperdimensional_langid)}
