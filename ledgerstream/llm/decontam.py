@@ -160,6 +160,17 @@ class Items:
         end = min(range(len(row)), key=lambda i: (row[i], i))
         return *row[end], end
 
+    def _widened(self, item: int, tokens: np.ndarray, low: int, high: int, begin: int, end: int) -> tuple[int, int, int]:
+        """The nearest part of a region that grows around it as long as that brings it nearer."""
+        held = None
+        while True:
+            distance, first, last = self.span(item, tokens[low:high].tolist())
+            found = (distance, low + first, low + last)
+            if held and found >= held or distance == 0:
+                return min(held or found, found)
+            held = found
+            low, high = max(found[1] - self.limits[item], begin), min(found[2] + self.limits[item], end)
+
     def matches(self, texts: list[str]) -> list[list[dict]]:
         """For each text the items it holds, each at its nearest passage."""
         pieces, owners, offsets = [], [], []
@@ -178,15 +189,15 @@ class Items:
             ends = begins + [len(p) for p in pieces[::2]]
             for window, item in sorted(set(self.candidates(tokens))):
                 piece = int(np.searchsorted(begins, window, "right")) - 1
-                limit, begin = self.limits[item], int(begins[piece])
-                low = max(window - limit, begin)
-                region = tokens[low:min(window + len(self.items[item]) + limit, int(ends[piece]))].tolist()
-                shift = offsets[piece] + low - begin
-                held = best[owners[piece]].get(item)
-                if held and held[1] - limit <= offsets[piece] + window - begin <= held[2] or not self.near(item, region):
+                limit, begin, end = self.limits[item], int(begins[piece]), int(ends[piece])
+                if window - begin >= PIECE:
+                    continue  # the next piece has all of it
+                low, high = max(window - limit, begin), min(window + len(self.items[item]) + limit, end)
+                shift, held = offsets[piece] - begin, best[owners[piece]].get(item)
+                if held and held[1] - limit <= window + shift <= held[2] or not self.near(item, tokens[low:high].tolist()):
                     continue  # the same passage again, or none
-                distance, first, end = self.span(item, region)
-                found = (distance, shift + first, shift + end)
+                distance, first, last = self._widened(item, tokens, low, high, begin, end)
+                found = (distance, shift + first, shift + last)
                 best[owners[piece]][item] = min(held or found, found)
         return [[{"item_id": self.ids[i], "distance": d, "first_word": a, "end_word": b}
                  for i, (d, a, b) in sorted(found.items(), key=lambda x: (self.ids[x[0]], x[1]))] for found in best]
