@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from ledgerstream.llm.common import slices
 
-DIMENSIONS = 512
+DIMENSIONS = 1024
 SYMBOLS = 128  # 0 stands for whatever is not a letter; letters beyond those of European scripts share the rest
 UNKNOWN = "und"
 SLICE_ROWS, PIECE = 256, 1 << 20  # texts and characters encoded at a time

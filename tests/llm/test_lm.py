@@ -1,0 +1,121 @@
+import math
+import zlib
+from collections import Counter
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from ledgerstream.llm import gru, lm
+from ledgerstream.llm.common import remainder
+from ledgerstream.llm.gru import Model
+
+
+def tokens(text):
+    lowered = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    for c in "\t\n\x0b\x0c\r":
+        lowered = lowered.replace(c, " ")
+    return [w for w in lowered.split(" ") if w] + [None]
+
+
+def brute(rows):
+    """Base scores of (doc_id, text) rows."""
+    held = [zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2 for i, _ in rows]
+    c = Counter(w for (_, t), h in zip(rows, held) if not h for w in tokens(t))
+    n, v = sum(c.values()), len(c)
+    return sorted(((i, h, len(tokens(t)), sum(c[w] > 0 for w in tokens(t)), n,
+                    round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in tokens(t)), 6)) for (i, t), h in zip(rows, held)), key=repr)
+
+
+def base(df):
+    return sorted(((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 6)) for r in df.collect()), key=repr)
+
+
+def test_base_like_brute_force(clashing):
+    rows = [(r.doc_id, r.text) for r in clashing.collect()]
+    assert base(lm.score(clashing, remainder("doc_id", 7) == 2)) == brute(rows)
+
+
+def test_joined_words_count_like_known_ones(monkeypatch, documents):
+    rows = [(i, " ".join(f"w{j}" for j in range(i % 9)) + " once" + str(i)) for i in range(60)]
+    monkeypatch.setattr(lm, "KNOWN", 4)
+    monkeypatch.setattr(lm, "SYMBOLS", 4)
+    found = lm.score(documents(rows), remainder("doc_id", 7) == 2)
+    assert base(found) == brute(rows) and all(r.score < 0 for r in found.collect())
+
+
+def test_nothing_to_train_on(documents):
+    found = lm.score(documents([(1, "a b"), (2, None)]), F.lit(True)).collect()
+    assert sorted((r.n_tokens, r.n_known, r.base_score) for r in found) == [(1, 0, 0.0), (3, 0, 0.0)]
+    assert lm.score(documents([]), F.lit(False)).count() == 0
+
+
+def small(seed=1):
+    rng = np.random.default_rng(seed)
+    model = Model.new(np.array([5, 50, 30, 20, 10, 5, 3, 2] * 5, float))
+    for k, v in model.weights.items():
+        model.weights[k] = v + rng.normal(0, 0.3, v.shape).astype(np.float32)
+    return model, rng
+
+
+def test_probabilities_sum_to_one():
+    model, rng = small()
+    states = rng.normal(size=(6, gru.HIDDEN)).astype(np.float32)
+    total = sum(10 ** model.log10(states, np.full(6, s)) for s in range(40))
+    assert np.allclose(total, 1, atol=1e-5)
+
+
+def test_score_like_one_text_at_a_time():
+    model, rng = small()
+    texts = [np.append(rng.integers(1, 40, n), gru.END).astype(np.int32) for n in (0, 1, 31, 32, 33, 100, 64, 7)]
+    found = model.score(np.concatenate(texts), np.array([len(t) for t in texts]))
+    table = model.weights["embed"] @ model.weights["input"] + model.weights["bias"]
+    for text, score in zip(texts, found):
+        h, before, total = np.zeros((1, gru.HIDDEN), np.float32), gru.END, 0.0
+        for s in text:
+            h = model.step(table[[before]], h)[-1]
+            total += model.log10(h, np.array([s]))[0]
+            before = s
+        assert abs(total - score) < 1e-3
+
+
+def test_gradients_like_differences():
+    model, rng = small()
+    model.weights = {k: v.astype(np.float64) for k, v in model.weights.items()}
+    symbols = rng.integers(0, 40, (5, 3))
+    mask = np.ones((5, 3), bool)
+    mask[3:, 1] = False
+    before = np.concatenate([np.zeros((1, 3), int), symbols[:-1]])
+    start = rng.normal(size=(3, gru.HIDDEN)) * 0.3
+    grads = model.gradients(before, symbols, mask, start)[0]
+    for k, w in model.weights.items():
+        at = np.unravel_index(np.argmax(np.abs(grads[k])), w.shape)
+        old, losses = w[at], []
+        for e in (1e-3, -1e-3):
+            w[at] = old + e
+            losses.append(model.gradients(before, symbols, mask, start)[2] / mask.sum())
+        w[at] = old
+        assert abs((losses[0] - losses[1]) / 2e-3 - grads[k][at]) < 2e-3 * max(1, abs(grads[k][at])), k
+
+
+def test_training_learns_a_pattern():
+    text = np.array([1, 2, 3, 4, 5] * 20 + [0], np.int32)
+    model = Model.new(np.array([1, 20, 20, 20, 20, 20], float))
+    start = model.score(text, np.array([len(text)]))[0]
+    for _ in range(25):
+        model, seen = model.train([text] * 8)
+    assert seen == 8 * len(text) and model.score(text, np.array([len(text)]))[0] > 0.4 * start
+
+
+@pytest.mark.parametrize("n", [1, 2, 40, 1024])
+def test_new_model_is_the_unigram(n):
+    counts = np.sort(np.random.default_rng(n).integers(0, 1000, n))[::-1].astype(float)
+    model = Model.new(counts)
+    found = 10 ** model.log10(np.zeros((n, gru.HIDDEN), np.float32), np.arange(n))
+    assert np.allclose(found, (counts + 1) / (counts + 1).sum(), rtol=1e-3)
+
+
+def test_beats_the_unigram_on_held_out_texts(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [r for r in lm.score(docs, remainder("doc_id", 7) == 2).collect() if r.held_out]
+    assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
