@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 END, WINDOW = 0, 32
-EMBEDDED, HIDDEN, CLASSES = 16, 24, 32
+EMBEDDED, HIDDEN, CLASSES, CLASS_SIZE = 16, 24, 24, 48
 
 
 class Model:
@@ -23,11 +23,14 @@ class Model:
     @classmethod
     def new(cls, counts: np.ndarray, seed: int = 3) -> Model:
         """A model that starts as the unigram distribution of ``counts``."""
-        root = np.cumsum(np.sqrt(counts + 1.0))
-        classes = min(CLASSES, len(counts))
-        # Classes of nearly equal sums of square roots keep both softmaxes short.
-        inner = np.searchsorted(root, root[-1] * np.arange(1, classes) / classes) + 1
-        bounds = np.unique(np.concatenate(([0], np.minimum(inner, len(counts)), [len(counts)])))
+        # Classes of nearly equal sums of square roots, and of bounded size, keep both softmaxes short.
+        bounds, held, most = [0], 0.0, np.sqrt(counts + 1.0).sum() / CLASSES
+        for n, root in enumerate(np.sqrt(counts + 1.0)):
+            if n > bounds[-1] and (held + root > most or n - bounds[-1] == CLASS_SIZE):
+                bounds.append(n)
+                held = 0.0
+            held += root
+        bounds = np.array([*bounds, len(counts)])
         rng = np.random.default_rng(seed)
         shape = {"embed": (len(counts), EMBEDDED), "input": (EMBEDDED, 3 * HIDDEN), "state": (HIDDEN, 3 * HIDDEN),
                  "to_class": (HIDDEN, len(bounds) - 1), "to_symbol": (len(counts), HIDDEN)}

@@ -19,7 +19,7 @@ from ledgerstream.llm.gru import END, Model
 KNOWN = 1 << 17  # words, the most frequent, whose counts are sent to every task; the others' are joined
 SYMBOLS = 1024  # of the recurrent model: the end, the most frequent words, and one for all others
 WARM = 256  # texts that the first model is fitted to
-SHARE = 16  # one in so many training texts trains the model further
+SHARE = 32  # one in so many training texts trains the model further
 HELD = 1 << 19  # words a task counts before it hands them on
 ROWS, CHARS = 4096, 16 << 20
 
@@ -104,10 +104,11 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     the tokens they saw. What is learned from grows with the input; a task holds its share's symbols only.
     """
     ids = vocabulary.ids()
-    hashed = texts.select("text", F.xxhash64("text").alias("h"))
-    warm = hashed.orderBy("h").limit(WARM).select("text").collect()
+    hashed = texts.select("text", F.xxhash64("_id", "text").alias("h"))
+    lowest = hashed.select("h").orderBy("h").limit(WARM).agg(F.max("h")).first()[0]  # hashes only meet in one place
+    warm = hashed.filter(F.col("h") <= F.lit(lowest)).limit(WARM).collect() if lowest is not None else []
     model = Model.new(vocabulary.symbol_counts)
-    model, _ = model.train([_symbols(ids, vocabulary, r.text) for r in warm])
+    model, _ = model.train([_symbols(ids, vocabulary, r.text) for r in sorted(warm, key=lambda r: (r.h, r.text or ""))])
 
     def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, trained, total = vocabulary.ids(), model, 0

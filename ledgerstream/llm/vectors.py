@@ -168,7 +168,10 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 5, parts: int = 32, re
     distinct = stored(usable.distinct().withColumn("_n", F.row_number().over(first)).filter(F.col("_n") <= k + 1)
                       .groupBy("_vec").agg(F.sort_array(F.collect_list("_id")).alias("_ids"))  # k + 1 at most
                       .withColumn("_rep", F.col("_ids")[0]), "vector-distinct")
-    sample = distinct.orderBy(F.xxhash64("_rep"), "_rep").limit(SAMPLE).select("_vec").toPandas()["_vec"]
+    hashed = F.xxhash64("_rep")
+    lowest = distinct.select(hashed.alias("h")).orderBy("h").limit(SAMPLE).agg(F.max("h")).first()[0]  # hashes only
+    sample = (distinct.filter(hashed <= F.lit(lowest)).select("_rep", "_vec").limit(SAMPLE).toPandas()
+              .sort_values("_rep")["_vec"])
     router = fit(_matrix(sample)[1], parts, recall, k) if len(sample) else fit(np.zeros((0, 1)), 1, recall, k)
 
     placed = stored(_routed(distinct.select(F.col("_rep").alias("_key"), "_vec"), router, 1), "vector-parts")
