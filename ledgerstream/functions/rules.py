@@ -9,17 +9,13 @@ from pyspark.sql import Column, functions as F
 # Urgency codes of an alert. The rules below produce 2, 3 and 4.
 LOW, MEDIUM, HIGH, CRITICAL, EMERGENCY = 1, 2, 3, 4, 5
 
-# A sum of doubles depends on the order of its terms in the last digits; totals are compared without these, so
-# that a total of exactly the threshold never fires, however the rows were split over tasks.
-AMOUNT_DIGITS = 6
-
 # Our own codes for which rule fired.
 BY_COUNT, BY_AMOUNT, BY_BOTH, BY_TYPE = 1, 2, 3, 4
 
 
 @dataclass(frozen=True)
 class AlertRules:
-    """Thresholds, all strict.
+    """Thresholds, all strict; totals are compared as they are.
 
     ``watched_types`` with ``max_watched`` is an extra rule on the type of transaction: more than
     ``max_watched`` transactions of those types raise a Medium alert where no other rule fires.
@@ -34,7 +30,7 @@ class AlertRules:
         return F.col("transaction_count") > self.max_count
 
     def too_much(self) -> Column:
-        return F.round("total_amount", AMOUNT_DIGITS) > self.max_amount
+        return F.col("total_amount") > self.max_amount
 
     def too_many_watched(self) -> Column:
         return F.col("watched_count") > self.max_watched if self.watched_types else F.lit(False)

@@ -1,50 +1,36 @@
 """Fraud reports set against transactions.
 
-Both results have one row per report. The pairs of an account's reports and transactions are never formed,
+All results have one row per report. The pairs of an account's reports and transactions are never formed,
 since for one busy account they grow with the square of its rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ledgerstream.functions import eventtime
-from ledgerstream.session import run_dir
 
 DAY_MS = 86_400_000
 MINUTE_MS = 60_000
-UNITS = 10_000  # amounts are summed as whole ten-thousandths, exactly
 
 
-def _frequent(rows: DataFrame, key: str, hot: int) -> DataFrame:
-    """Values of ``key`` on more than ``hot`` rows, with their number of rows; at most ``rows / hot`` of them.
-
-    They are written out first: Spark then knows the size of the list and broadcasts it only where it is small.
-    """
-    spark = rows.sparkSession
-    found = rows.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > hot)
-    folder = run_dir(spark, "frequent")
-    found.write.parquet(folder)
-    return spark.read.schema(found.schema).parquet(folder)
-
-
-def reported_transactions(reports: DataFrame, transactions: DataFrame, hot: int = 1_000_000) -> DataFrame:
+def reported_transactions(reports: DataFrame, transactions: DataFrame) -> DataFrame:
     """Each report with the transaction it names, if there is one (batch).
 
-    Copies of a transaction count once. A transaction named by more than ``hot`` reports is repeated, so that
-    its reports spread over several tasks.
+    Only transactions that a report names are looked at further; copies of one count once (the latest). Reports
+    that name none don't meet the join. A transaction that very many reports name is left to the adaptive
+    splitting of skewed joins, which can split the reports' side.
     """
-    named = reports.select("transaction_id", "report_id", "risk_level", F.col("timestamp").alias("reported_at"))
-    crowded = (_frequent(named, "transaction_id", hot)
-               .select("transaction_id", F.ceil(F.col("n") / hot).cast("int").alias("parts")))
-    parts = F.coalesce("parts", F.lit(1))
-    left = (named.join(crowded, "transaction_id", "left")
-            .withColumn("part", F.pmod(F.xxhash64("report_id"), parts).cast("int")).drop("parts"))
-    right = (transactions.withColumnRenamed("id", "transaction_id").join(crowded, "transaction_id", "left")
-             .withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
-             .groupBy("transaction_id", "part")
-             .agg(F.max(F.struct("timestamp", "account_id", "amount_transferred")).alias("t")))
-    return (left.join(right, ["transaction_id", "part"], "left")
+    named = reports.select("report_id", "transaction_id", "risk_level", F.col("timestamp").alias("reported_at"))
+    wanted = named.select("transaction_id").dropna().distinct()
+    newest = Window.partitionBy("transaction_id").orderBy(F.desc("t.timestamp"), F.desc("t.account_id"),
+                                                          F.desc("t.amount_transferred"))
+    found = (transactions.select(F.col("id").alias("transaction_id"),
+                                 F.struct("timestamp", "account_id", "amount_transferred").alias("t"))
+             .join(wanted, "transaction_id", "left_semi")
+             .withColumn("copy", F.row_number().over(newest)).filter("copy = 1").drop("copy"))
+    none = named.filter("transaction_id is null").withColumn("t", F.lit(None).cast(found.schema["t"].dataType))
+    return (named.filter("transaction_id is not null").join(found, "transaction_id", "left").unionByName(none)
             .select("report_id", "transaction_id", "risk_level", "t.account_id", "t.amount_transferred",
                     (F.col("reported_at") - F.col("t.timestamp")).alias("lag_ms")))
 
@@ -53,6 +39,7 @@ def reported_transactions_stream(reports: DataFrame, transactions: DataFrame, lo
                                  delay: str = "10 seconds", spread: int = 1) -> DataFrame:
     """Each report with the transaction it names, where that is at most ``lookback`` older (append mode).
 
+    A report without such a transaction appears with nulls once the watermark has passed it, as none can follow.
     The time bound lets both sides' state expire. Copies of a transaction count once. ``spread`` repeats every
     transaction that often, so that the reports of one transaction are spread over as many tasks.
     """
@@ -61,60 +48,88 @@ def reported_transactions_stream(reports: DataFrame, transactions: DataFrame, lo
                                          eventtime.from_millis().alias("report_ts")), delay, "report_ts")
     t = eventtime.bounded(transactions.select("id", "account_id", "amount_transferred",
                                               eventtime.from_millis().alias("ts")), delay)
-    # Copies are dropped per part, so that the join finds its rows already in place.
-    t = (t.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
-         .dropDuplicatesWithinWatermark(["id", "part"]))
+    t = t.dropDuplicatesWithinWatermark(["id"])
+    same = F.col("named") == F.col("id")
+    if spread > 1:
+        t = t.withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(spread - 1).cast("long"))))
+        same &= F.col("report_part") == F.col("part")
     recent = F.col("ts").between(F.col("report_ts") - F.expr(f"interval {lookback}"), F.col("report_ts"))
-    return (r.join(t, (F.col("named") == F.col("id")) & (F.col("report_part") == F.col("part")) & recent)
-            .select("report_id", F.col("id").alias("transaction_id"), "risk_level", "account_id",
+    return (r.join(t, same & recent, "left_outer")
+            .select("report_id", F.col("named").alias("transaction_id"), "risk_level", "account_id",
                     "amount_transferred",
                     (F.unix_millis("report_ts") - F.unix_millis("ts")).alias("lag_ms")))
 
 
+# Parts of a look-back's total, in the order they are added.
+OPENING, FIRST_BLOCK, LAST_BLOCK, CLOSING = range(4)
+
+
 def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: int = DAY_MS,
-                    slice_ms: int = MINUTE_MS, hot: int = 1_000_000) -> DataFrame:
+                    slice_ms: int = MINUTE_MS) -> DataFrame:
     """Count and total of the account's transactions in the ``lookback_ms`` up to each report (batch).
 
-    Running totals turn the look-back into a subtraction: the total at the report minus the total just before
-    the window opens. For an account with more than ``hot`` rows they are taken within slices of time and then
-    raised by the totals of the earlier slices, so that its slices spread over tasks. Copies of a report count
-    once.
+    Time is cut into slices, and slices into blocks of about the look-back's length. A look-back is then the end of
+    its first slice, the end of a block of slices, the beginning of the next block and the beginning of its last
+    slice. Each part is a running sum within one account's slice or block, so that parts are only ever added:
+    amounts of any size, infinities and NaN count just where they are. A null amount counts as a row without amount.
+
+    Transactions are totalled per account and millisecond, and reports of equal account and time look back once, so
+    the work of a busy account spreads over its slices and blocks. Copies of a report count once. Nothing is found
+    for a report without account or time.
     """
-    before, tx, after = 0, 1, 2  # order among equal times: window opens, transactions, report
-    at = F.col("timestamp")
-    money = transactions.select(
-        "account_id", at.alias("at"), F.lit(tx).alias("kind"), F.lit(1).cast("long").alias("n"),
-        F.round(F.col("amount_transferred") * UNITS).cast("long").alias("amount"),
-        F.lit(None).cast("string").alias("report_id"), F.lit(None).cast("long").alias("reported_at"))
-    probes = reports.select(
-        "account_id",
-        F.explode(F.array(F.struct((at - lookback_ms).alias("at"), F.lit(before).alias("kind")),
-                          F.struct(at.alias("at"), F.lit(after).alias("kind")))).alias("p"),
-        "report_id", at.alias("reported_at"),
-    ).select("account_id", "p.at", "p.kind", F.lit(0).cast("long").alias("n"),
-             F.lit(0).cast("long").alias("amount"), "report_id", "reported_at")
-    busy = _frequent(transactions.select("account_id").union(reports.select("account_id")), "account_id", hot)
-    slice_start = F.col("at") - F.pmod("at", F.lit(slice_ms))
-    points = (money.union(probes).join(busy.withColumnRenamed("n", "rows"), "account_id", "left")
-              .withColumn("slice", F.when(F.col("rows").isNotNull(), slice_start)).drop("rows"))
-
-    within = (Window.partitionBy("account_id", "slice").orderBy("at", "kind")
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    local = (points.withColumn("local_n", F.sum("n").over(within))
-             .withColumn("local_amount", F.sum("amount").over(within))
-             .filter(F.col("kind") != tx))
-    earlier = (Window.partitionBy("account_id").orderBy("slice")
-               .rowsBetween(Window.unboundedPreceding, -1))
-    offsets = (points.filter("slice is not null")
-               .groupBy("account_id", "slice").agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
-               .select("account_id", "slice", F.sum("n").over(earlier).alias("offset_n"),
-                       F.sum("amount").over(earlier).alias("offset_amount")))
-
-    def difference(local_column: str, offset_column: str):
-        running = F.col(local_column) + F.coalesce(offset_column, F.lit(0))
-        return (F.max(F.when(F.col("kind") == after, running)) - F.max(F.when(F.col("kind") == before, running)))
-
-    return (local.join(offsets, ["account_id", "slice"], "left")
-            .groupBy("report_id", "account_id", "reported_at")
-            .agg(difference("local_n", "offset_n").alias("transaction_count"),
-                 (difference("local_amount", "offset_amount") / UNITS).alias("total_amount")))
+    slice_ms = max(1, min(slice_ms, lookback_ms))
+    block = max(1, lookback_ms // slice_ms - 1)  # a look-back's whole slices fill one block or reach into the next
+    asked = reports.select("report_id", "account_id", F.col("timestamp").alias("reported_at")).distinct()
+    start, end = F.col("at") - lookback_ms, F.col("at")
+    first, last = _floor(start, slice_ms) + 1, _floor(end, slice_ms) - 1  # whole slices
+    times = asked.select("account_id", F.col("reported_at").alias("at")).dropna().distinct()
+
+    money = (transactions.select("account_id", F.col("timestamp").alias("at"),
+                                 F.coalesce("amount_transferred", F.lit(0.0)).alias("amount"))
+             .dropna(subset=["account_id", "at"])
+             .groupBy("account_id", "at").agg(F.count("*").alias("n"), F.sum("amount").alias("amount")))
+    slices = (money.groupBy("account_id", _floor(F.col("at"), slice_ms).alias("at"))
+              .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount")))
+
+    # With a look-back of nothing the first and the last slice are the same one.
+    edges = _parts(times, [(OPENING, start, F.lit(lookback_ms > 0)), (CLOSING, end, F.lit(True))])
+    blocks = _parts(times, [(FIRST_BLOCK, first, first <= last),
+                            (LAST_BLOCK, last, (first <= last) & (_floor(last, block) > _floor(first, block)))])
+    totals = (_running(money, edges, slice_ms).unionByName(_running(slices, blocks, block))
+              .groupBy("account_id", "reported_at")
+              .agg(*[F.max(F.when(F.col("part") == p, F.struct("n", "amount"))).alias(f"p{p}")
+                     for p in range(4)]))
+    n = sum((F.coalesce(f"p{p}.n", F.lit(0)) for p in range(4)), F.lit(0).cast("long"))
+    amount = sum((F.coalesce(f"p{p}.amount", F.lit(0.0)) for p in range(4)), F.lit(0.0))
+    totals = totals.select("account_id", "reported_at", n.alias("n"), amount.alias("amount"))
+    return asked.join(totals, ["account_id", "reported_at"], "left").select(
+        "report_id", "account_id", "reported_at", F.coalesce("n", F.lit(0)).alias("transaction_count"),
+        F.coalesce("amount", F.lit(0.0)).alias("total_amount"))
+
+
+def _floor(number: Column, width: int) -> Column:
+    return ((number - F.pmod(number, F.lit(width))) / width).cast("long")
+
+
+def _parts(times: DataFrame, parts: list[tuple[int, Column, Column]]) -> DataFrame:
+    """A row for each part of each look-back: where its running sum begins or ends."""
+    each = F.array(*[F.when(there, F.struct(F.lit(part).alias("part"), at.alias("at"))) for part, at, there in parts])
+    return (times.withColumn("p", F.explode(each)).filter("p is not null")
+            .select("account_id", F.col("at").alias("reported_at"), "p.part", "p.at"))
+
+
+def _running(rows: DataFrame, parts: DataFrame, width: int) -> DataFrame:
+    """For each part the rows of its stretch of ``width``: from its place on, or up to it for closing parts."""
+    closing = F.col("part").isin(CLOSING, LAST_BLOCK)
+    points = rows.withColumn("side", F.lit(1)).unionByName(
+        parts.withColumn("side", F.when(closing, 2).otherwise(0)), allowMissingColumns=True)
+    stretch = Window.partitionBy("account_id", "stretch").orderBy("at", "side")  # opens, rows, closes
+    before = stretch.rowsBetween(Window.unboundedPreceding, 0)
+    behind = stretch.rowsBetween(0, Window.unboundedFollowing)
+
+    def total(column: str) -> Column:
+        return F.when(closing, F.sum(column).over(before)).otherwise(F.sum(column).over(behind)).alias(column)
+
+    return (points.withColumn("stretch", _floor(F.col("at"), width))
+            .select("account_id", "reported_at", "part", total("n"), total("amount"))
+            .filter("part is not null"))

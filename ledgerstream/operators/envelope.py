@@ -6,6 +6,7 @@ The caller passes the writer schemas by id, as a schema registry would list them
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
@@ -45,14 +46,23 @@ def _decode_json(payload: Column, struct: T.StructType) -> Column:
     return F.from_json(payload.cast("string"), schema, {"columnNameOfCorruptRecord": _CORRUPT})
 
 
+def _incomplete(value: Column, struct: T.StructType) -> Column:
+    """Whether a record, or a record that is present in it, lacks a field: all of them are required."""
+    return reduce(or_, (child.isNotNull() & _incomplete(child, field.dataType)
+                        if isinstance(field.dataType, T.StructType) else child.isNull()
+                        for field in struct.fields for child in [value.getField(field.name)]))
+
+
 def decode(messages: DataFrame, writers: Mapping[int, Writer], record: str = "BankEvent", codec: str = "avro",
-           reader: str | None = None, metrics: str = "decode") -> DataFrame:
+           reader: str | None = None, metrics: str | None = None) -> DataFrame:
     """Decode ``value``; no bad message fails the job.
 
-    Keeps ``value``, adds the fields of ``record`` and ``decode_error`` (null for a good message). Counts per
-    error are reported as query metrics under ``metrics``. ``reader`` is an Avro schema to resolve older
+    Keeps ``value``, adds the fields of ``record`` and ``decode_error`` (null for a good message); a payload that
+    lacks a required field is an error too. Counts per error are reported as query metrics under ``metrics``, by
+    default a name of its own, as a query may decode several topics. ``reader`` is an Avro schema to resolve older
     writers to.
     """
+    metrics = metrics or f"decode-{record}-{uuid.uuid4().hex[:8]}"
     struct = schemas.RECORDS[record]
     expected = {i: w for i, w in writers.items() if w.record == record}
     if not expected:
@@ -65,7 +75,9 @@ def decode(messages: DataFrame, writers: Mapping[int, Writer], record: str = "Ba
 
     fields = [F.col("_decoded").getField(name) for name in struct.fieldNames()]
     empty = reduce(and_, (f.isNull() for f in fields))
-    broken = empty | F.col("_decoded").getField(_CORRUPT).isNotNull() if codec == "json" else empty
+    broken = empty
+    if codec == "json":  # Avro's own reader checks this
+        broken = broken | F.col("_decoded").getField(_CORRUPT).isNotNull() | _incomplete(F.col("_decoded"), struct)
     error = (F.when(F.col("value").isNull(), "null_value")
              .when(~frames.is_framed("value"), "bad_frame")
              .when(~frames.written_by("value", writers), "unknown_schema")
@@ -100,20 +112,27 @@ def encode(record: Column, struct: T.StructType, schema_id: int, codec: str = "a
     return frames.frame(schema_id, F.when(record.isNotNull(), checked))
 
 
-def messages(rows: DataFrame, record: str, schema_id: int, codec: str = "avro", namespace: str = "bank") -> DataFrame:
-    """Rows of a flat record as message values."""
+def writer_text(writers: Mapping[int, Writer] | None, schema_id: int, record: str, struct: T.StructType,
+                namespace: str) -> str:
+    """The schema that the registry holds under the id; where the caller lists none, the record's own."""
+    registered = (writers or {}).get(schema_id)
+    return registered.avro if registered and registered.avro else schemas.avro_schema(record, struct, namespace)
+
+
+def messages(rows: DataFrame, record: str, schema_id: int, codec: str = "avro", namespace: str = "bank",
+             writers: Mapping[int, Writer] | None = None) -> DataFrame:
+    """Rows of a flat record as message values, written as ``writers`` has it under ``schema_id``."""
     struct = schemas.RECORDS[record]
-    whole = F.struct(*struct.fieldNames())
-    return rows.select(encode(whole, struct, schema_id, codec, schemas.avro_schema(record, struct, namespace))
-                       .alias("value"))
+    text = writer_text(writers, schema_id, record, struct, namespace)
+    return rows.select(encode(F.struct(*struct.fieldNames()), struct, schema_id, codec, text).alias("value"))
 
 
 def balance_messages(balances: DataFrame, key_id: int, value_id: int, codec: str = "avro",
-                     namespace: str = "bank") -> DataFrame:
+                     namespace: str = "bank", writers: Mapping[int, Writer] | None = None) -> DataFrame:
     """Balances as keyed messages: in a compacted topic the latest message of an account wins."""
     def column(struct: T.StructType, schema_id: int, name: str) -> Column:
-        avro = schemas.avro_schema(name, struct, namespace)
-        return encode(F.struct(*struct.fieldNames()), struct, schema_id, codec, avro)
+        text = writer_text(writers, schema_id, name, struct, namespace)
+        return encode(F.struct(*struct.fieldNames()), struct, schema_id, codec, text)
 
     key = T.StructType([schemas.ACCOUNT_BALANCE["account_id"]])
     return balances.select(column(key, key_id, "AccountKey").alias("key"),

@@ -24,18 +24,19 @@ class Outputs:
 
 
 def route_messages(messages: DataFrame, writers: Mapping[int, Writer], outputs: Outputs, codec: str = "avro",
-                   namespace: str = "bank", reader: str | None = None) -> DataFrame:
+                   namespace: str = "bank", reader: str | None = None, metrics: str | None = None) -> DataFrame:
     """``value`` in; ``topic``, ``value``, ``headers`` out, in one pass without a shuffle.
 
-    A dead letter keeps its original bytes and carries its reason as a header.
+    Outputs are written by the schemas that ``writers`` has under their ids. A dead letter keeps its original bytes and carries its reason as a header.
     """
-    decoded = envelope.decode(messages, writers, "BankEvent", codec, reader)
+    decoded = envelope.decode(messages, writers, "BankEvent", codec, reader, metrics)
     reason = F.coalesce("decode_error", routing.reject_reason())
     routed = routing.count_by_topic(routing.classify(decoded, reason))
 
     def encode(member: str, record: str, schema_id: int):
         struct = schemas.RECORDS[record]
-        return envelope.encode(F.col(member), struct, schema_id, codec, schemas.avro_schema(record, struct, namespace))
+        text = envelope.writer_text(writers, schema_id, record, struct, namespace)
+        return envelope.encode(F.col(member), struct, schema_id, codec, text)
 
     topic = F.col("topic")
     headers = F.array(F.struct(F.lit("reason").alias("key"), F.col("reject_reason").cast("binary").alias("value")))

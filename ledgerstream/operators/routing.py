@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ledgerstream import schemas
@@ -11,13 +14,14 @@ FRAUD_REPORT_TOPIC = "fraud-reports"
 REJECT_TOPIC = "rejects"
 
 _TYPE = "metadata.event_type"
-# Discriminator -> the body member that must be present.
+# Discriminator -> the body member that must be present, and no other.
 _MEMBERS = dict(zip(schemas.EVENT_TYPES, ("body.member0", "body.member1")))
 
 
 def _is(event_type: str) -> Column:
     # A plain conjunction, so that it reaches the scan where the envelope is stored in Parquet.
-    return (F.col(_TYPE) == event_type) & F.col(_MEMBERS[event_type]).isNotNull()
+    own = (F.col(_TYPE) == event_type) & F.col(_MEMBERS[event_type]).isNotNull()
+    return reduce(and_, (F.col(m).isNull() for t, m in _MEMBERS.items() if t != event_type), own)
 
 
 def transactions(events: DataFrame) -> DataFrame:

@@ -27,7 +27,7 @@ dest as (
               when (event_type = 'error') = (event_id % 103 = 0) then 'Transaction' else 'FraudReport' end sent_type,
          case when event_id % 89 = 0 then 'null_value' when event_id % 83 = 0 then 'bad_frame'
               when event_id % 79 = 0 then 'unknown_schema' when event_id % 73 = 0 then 'wrong_record'
-              when event_id % 71 = 0 then 'decode_error' end decode_error
+              when event_id % 71 = 0 or event_id % 67 = 0 then 'decode_error' end decode_error
   from events)
 """
 
@@ -54,7 +54,7 @@ select account_id,
        case when n > {count} and s > {amount} then 4 when s > {amount} then 3 else 2 end urgency_level,
        ws window_start, ws + {window_ms} window_end, n transaction_count, round(s, 2) total_amount
 from (select account_id, (ms // {window_ms}) * {window_ms} ws, cast(count(*) as int) n,
-             round(sum(amount_transferred), 6) s,
+             sum(amount_transferred) s,
              {watched_count} k
       from {source} group by 1, 2)
 where (n > {count} or s > {amount} or k > {max_watched}) and {where}
@@ -117,7 +117,7 @@ ORACLES: dict[str, str] = {
                cast(count(*) as int) transaction_count, round(sum(amount_transferred), 2) total_amount
         from tx group by account_id, ms // 300000""",
     "fraud_alerts": _ORDERS + _alerts("o", 300_000, 10, 10000.0),
-    "fraud_alerts_one_minute": _ORDERS + _alerts("o", 60_000, 10, 10000.0),
+    "fraud_alerts_one_minute": _WITH + _alerts("tx", 60_000, 1, 150.0),
     "fraud_alerts_scaled": _WITH + _alerts("tx", _DAY, 4, 300.0),
     "fraud_alerts_by_type": _WITH + _alerts("tx", _DAY, 6, 400.0, watched="2, 4", max_watched=1),
     "fraud_alerts_stream": _WITH + _alerts("tx", _DAY, 4, 300.0,

@@ -22,6 +22,7 @@ QUERIES: dict[str, Query] = {}
 
 # Rules under which the events table shows all three levels.
 SCALED_WINDOW, SCALED_RULES = "1 day", AlertRules(max_count=4, max_amount=300.0)
+MINUTE_RULES = AlertRules(max_count=1, max_amount=150.0)
 TYPE_RULES = AlertRules(max_count=6, max_amount=400.0, watched_types=(2, 4), max_watched=1)
 
 WRITERS = {bank_events.BANK_EVENT_ID: Writer("BankEvent"),
@@ -237,7 +238,7 @@ def fraud_alerts(spark, sf_dir):
 
 @_register
 def fraud_alerts_one_minute(spark, sf_dir):
-    return _cents(alerts.alerts(bank_events.order_transactions(spark, sf_dir), "1 minute"), "total_amount")
+    return _cents(alerts.alerts(_transactions(spark, sf_dir), "1 minute", MINUTE_RULES), "total_amount")
 
 
 @_register

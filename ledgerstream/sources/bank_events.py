@@ -19,7 +19,7 @@ def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.read_batch(spark, f"{sf_dir}/events.parquet", EVENTS)
 
 
-def events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = None) -> DataFrame:
+def events_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None = files.PER_BATCH) -> DataFrame:
     # The glob serves a single file as well as a folder of part files.
     return files.read_stream(spark, f"{sf_dir}/events.parquet*", EVENTS, files_per_batch=files_per_batch)
 
@@ -107,5 +107,6 @@ def corrupted_messages(events: DataFrame) -> DataFrame:
              .when(number % 79 == 0, framed(UNKNOWN_ID))
              .when(number % 73 == 0, framed(TRANSACTION_ID))
              .when(number % 71 == 0, framed(BANK_EVENT_ID, F.concat(F.lit("<"), text)))
+             .when(number % 67 == 0, framed(BANK_EVENT_ID, F.regexp_replace(text, '"account_id":"[^"]*",', "")))
              .otherwise(framed(BANK_EVENT_ID)))
     return corrupted_envelopes(events).select(value.alias("value"))

@@ -32,10 +32,18 @@ DEFAULTS = {
     "balance.sink.topic": "account-balances",
     "balance.consumer.group.id": "balance-aggregation-v1",
 }
+# Our own: messages of one micro-batch, so that the first batch of a job is not the whole topic.
+LIMITS = {
+    "kafka.max.offsets.per.trigger": "5000000",
+}
 
 
 def settings(properties: Properties) -> dict[str, str]:
-    return DEFAULTS | dict(properties)
+    return DEFAULTS | LIMITS | dict(properties)
+
+
+def _folder(name: str) -> str:
+    return name.replace(" ", "-")
 
 
 def start(writer: DataStreamWriter, spark: SparkSession, name: str, checkpoint: str | None = None,
@@ -44,7 +52,7 @@ def start(writer: DataStreamWriter, spark: SparkSession, name: str, checkpoint:
     shared one. Every micro-batch is a checkpoint; ``available_now`` works off what is there and stops.
     """
     trigger = {"availableNow": True} if available_now else {"processingTime": f"{interval_ms} milliseconds"}
-    location = checkpoint or f"{shared_dir(spark)}/checkpoints/{name.replace(' ', '-')}"
+    location = checkpoint or f"{shared_dir(spark)}/checkpoints/{_folder(name)}"
     return writer.queryName(name).option("checkpointLocation", location).trigger(**trigger).start()
 
 
@@ -62,11 +70,14 @@ def fraud_alerts(transactions: DataFrame, properties: Properties) -> DataFrame:
 
 
 def _launch(writer: DataStreamWriter, spark: SparkSession, name: str, p: Properties) -> StreamingQuery:
-    return start(writer, spark, name, p.get("checkpoint.dir"), int(p["checkpoint.interval.ms"]))
+    """``checkpoint.dir`` is the root of all jobs' checkpoints; each has a folder of its name there."""
+    root = p.get("checkpoint.dir")
+    own = f"{root.rstrip('/')}/{_folder(name)}" if root else None
+    return start(writer, spark, name, own, int(p["checkpoint.interval.ms"]))
 
 
 def _read(spark: SparkSession, p: Properties, topic: str, group: str) -> DataFrame:
-    """A topic's messages; the two optional limits size a micro-batch and its tasks."""
+    """A topic's messages; the two limits size a micro-batch and its tasks."""
     limits = [int(p[key]) if key in p else None for key in ("kafka.max.offsets.per.trigger", "kafka.min.partitions")]
     return kafka.read_stream(spark, p["kafka.bootstrap.servers"], topic, group, "earliest", *limits)
 
@@ -80,7 +91,8 @@ def start_event_router(spark: SparkSession, properties: Properties, writers: Map
     messages = _read(spark, p, p["kafka.input.topic"], p["kafka.consumer.group.id"])
     outputs = router.Outputs(transaction_id, fraud_report_id, p["kafka.transaction.topic"],
                              p["kafka.fraud-report.topic"], p.get("kafka.dead-letter.topic"))
-    routed = router.route_messages(messages, writers, outputs, codec, reader=reader)
+    routed = router.route_messages(messages, writers, outputs, codec, reader=reader,
+                                   metrics=f"decode {p['kafka.input.topic']}")
     return _launch(kafka.write_stream(routed, p["kafka.bootstrap.servers"]), spark, "Bank Event Router", p)
 
 
@@ -90,14 +102,15 @@ def topic_transactions(spark: SparkSession, properties: Properties, writers: Map
     """Transactions from the topic the settings name; register it as a view to use it in a SQL job."""
     p = settings(properties)
     messages = _read(spark, p, p[topic_key], p[group_key])
-    return envelope.records(envelope.decode(messages, writers, "Transaction", codec, reader))
+    return envelope.records(envelope.decode(messages, writers, "Transaction", codec, reader,
+                                            metrics=f"decode {p[topic_key]}"))
 
 
 def topic_balances(changes: DataFrame, properties: Properties, key_id: int, value_id: int,
-                   codec: str = "avro") -> DataStreamWriter:
+                   codec: str = "avro", writers: Mapping[int, Writer] | None = None) -> DataStreamWriter:
     """Writer of balances to the compacted topic the settings name, keyed by account."""
     p = settings(properties)
-    out = envelope.balance_messages(changes, key_id, value_id, codec)
+    out = envelope.balance_messages(changes, key_id, value_id, codec, writers=writers)
     return kafka.write_stream(out, p["kafka.bootstrap.servers"], p["balance.sink.topic"], mode="update")
 
 
@@ -108,7 +121,7 @@ def start_fraud_alerts(spark: SparkSession, properties: Properties, writers: Map
     configure(spark)
     transactions = topic_transactions(spark, p, writers, "kafka.transaction.topic", "kafka.consumer.group.id",
                                       codec, reader)
-    out = envelope.messages(fraud_alerts(transactions, p), "Alert", alert_id, codec)
+    out = envelope.messages(fraud_alerts(transactions, p), "Alert", alert_id, codec, writers=writers)
     writer = kafka.write_stream(out, p["kafka.bootstrap.servers"], p["kafka.output.topic"])
     return _launch(writer, spark, "Fraud Alerts", p)
 
@@ -120,5 +133,5 @@ def start_account_balances(spark: SparkSession, properties: Properties, writers:
     p = settings(properties)
     configure(spark)
     transactions = topic_transactions(spark, p, writers, codec=codec, reader=reader)
-    writer = topic_balances(balances.account_balances(transactions), p, key_id, value_id, codec)
+    writer = topic_balances(balances.account_balances(transactions), p, key_id, value_id, codec, writers)
     return _launch(writer, spark, "Account Balances", p)

@@ -43,13 +43,14 @@ def test_frame_and_back(spark):
 def test_every_kind_of_bad_message(values):
     df = values(message(2, TX), message(4, TX), None, bytearray(b""), message(2, TX, b"\x01"), message(99, TX),
                 message(3, TX), message(2, b"{broken"), message(2, b""), message(2, b"[]"),
-                message(2, {**TX, "timestamp": "late"}))
+                message(2, {**TX, "timestamp": "late"}), message(2, {k: v for k, v in TX.items() if k != "bank_id"}),
+                message(2, {**TX, "id": None}))
     decoded = envelope.decode(df, WRITERS, "Transaction", "json")
     assert [r.decode_error for r in decoded.collect()] == [
         None, None, "null_value", "bad_frame", "bad_frame", "unknown_schema", "wrong_record", "decode_error",
-        "decode_error", "decode_error", "decode_error"]
+        "decode_error", "decode_error", "decode_error", "decode_error", "decode_error"]
     assert rows(envelope.records(decoded)) == [tuple(TX.values())] * 2
-    assert envelope.undecodable(decoded).count() == 9
+    assert envelope.undecodable(decoded).count() == 11
 
 
 def test_needs_a_writer_of_the_record(values):
@@ -94,10 +95,13 @@ def test_router_from_bytes_to_bytes(spark, values, tmp_path):
               "risk_level": "LOW", "timestamp": 9}
     broken = message(1, b"{")
     values(message(1, bank_event("Transaction", "member0", TX)), message(1, bank_event("FraudReport", "member1", report)),
-           message(1, bank_event("FraudReport", "member0", TX)), broken
+           message(1, bank_event("FraudReport", "member0", TX)), broken,
+           message(1, {"metadata": {"event_type": "Transaction"}, "body": {"member0": TX, "member1": report}}),
+           message(1, bank_event("Transaction", "member0", {**TX, "account_id": None})),
+           message(1, bank_event(None, "member0", TX))
            ).coalesce(1).write.parquet(f"{tmp_path}/in")
     outputs = router.Outputs(2, 3, "tx", "fr", "dead")
-    routed = router.route_messages(stream(spark, f"{tmp_path}/in", "value binary"), WRITERS, outputs, "json")
+    routed = router.route_messages(stream(spark, f"{tmp_path}/in", "value binary"), WRITERS, outputs, "json", metrics="decode")
     query = finish(sinks.append_files(routed, f"{tmp_path}/out", by=["topic"]), spark, "bytes", str(tmp_path))
 
     out = spark.read.parquet(f"{tmp_path}/out")
@@ -105,10 +109,11 @@ def test_router_from_bytes_to_bytes(spark, values, tmp_path):
             for topic, record in (("tx", "Transaction"), ("fr", "FraudReport"))}
     assert rows(read["Transaction"]) == [tuple(TX.values())]
     assert rows(read["FraudReport"]) == [tuple(report.values())]
-    dead = {bytes(r.headers[0].value).decode(): r.value for r in out.filter("topic = 'dead'").collect()}
-    assert dead.keys() == {"body_mismatch", "decode_error"} and dead["decode_error"] == broken
+    dead = [(bytes(r.headers[0].value).decode(), bytes(r.value)) for r in out.filter("topic = 'dead'").collect()]
+    assert sorted(reason for reason, _ in dead) == ["body_mismatch"] * 2 + ["decode_error"] * 3
+    assert ("decode_error", bytes(broken)) in dead
     metrics = query.recentProgress[0].observedMetrics
-    assert metrics["decode"]["decode_error"] == 1 and metrics["routing"]["body_mismatch"] == 1
+    assert metrics["decode"]["decode_error"] == 3 and metrics["routing"]["body_mismatch"] == 2
 
 
 def test_router_without_dead_letters_drops_them(values):
@@ -142,3 +147,21 @@ def test_avro_round_trip(spark, transactions):
 
 def test_subject():
     assert envelope.subject("transactions") == "transactions-value"
+
+
+def test_two_decoded_topics_in_one_plan(values):
+    a, b = (envelope.records(envelope.decode(values(message(2, TX)), WRITERS, "Transaction", "json")) for _ in range(2))
+    assert a.join(b, "id").count() == 1
+
+
+def test_registered_text_is_written(monkeypatch, spark, transactions, values):
+    """Where the registry's schema has its fields in another order, that text is asked for."""
+    asked = []
+    monkeypatch.setattr(envelope, "to_avro", lambda record, text: asked.append(text) or F.to_json(record).cast("binary"))
+    turned = json.loads(schemas.avro_schema("Transaction", schemas.TRANSACTION))
+    turned["fields"].reverse()
+    writers = WRITERS | {2: Writer("Transaction", json.dumps(turned)), 9: Writer("AccountBalance", "balance text")}
+    envelope.messages(transactions([("a", 1, 10)]), "Transaction", 2, writers=writers)
+    envelope.balance_messages(balances.account_balances(transactions([("a", 1, 10)])), 8, 9, writers=writers)
+    assert asked[0] == json.dumps(turned) and asked[2] == "balance text"
+    assert json.loads(asked[1])["name"] == "AccountKey"

@@ -95,3 +95,22 @@ def test_balances_as_a_sql_job_on_topics(spark, transactions, topics):
     query.awaitTermination()
     totals = [json.loads(bytes(r.value[5:]))["total_balance"] for r in sent(spark, topics, "account-balances").collect()]
     assert sorted(totals) == [1.0, 3.0, 7.0]
+
+
+def test_jobs_of_one_dict_have_checkpoints_of_their_own(spark, transactions, topics):
+    """``checkpoint.dir`` is a root: the second job reads everything too."""
+    publish(envelope.messages(transactions([("a", 20000, 1)]), "Transaction", 2, "json"), topics, "transactions")
+    publish(envelope.messages(transactions([("b", 1, 10 * MINUTE)]), "Transaction", 2, "json"), topics, "transactions")
+    publish(envelope.messages(transactions([("b", 1, 20 * MINUTE)]), "Transaction", 2, "json"), topics, "transactions")
+    p = settings(topics)
+    run(jobs.start_account_balances(spark, p, WRITERS, 8, 9, "json"))
+    run(jobs.start_fraud_alerts(spark, p, WRITERS, 4, "json"))
+    assert sent(spark, topics, "account-balances").count() == 3 and sent(spark, topics, "alerts").count() == 1
+
+
+def test_micro_batches_are_limited_by_default(spark, monkeypatch):
+    asked = []
+    monkeypatch.setattr(kafka, "read_stream", lambda *a: asked.append(a) or spark.readStream.format("rate").load().selectExpr("cast(null as binary) value"))
+    jobs.topic_transactions(spark, {}, WRITERS, codec="json")
+    jobs.topic_transactions(spark, {"kafka.max.offsets.per.trigger": "7", "kafka.min.partitions": "3"}, WRITERS, codec="json")
+    assert [a[-2:] for a in asked] == [(5_000_000, None), (7, 3)]

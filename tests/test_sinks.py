@@ -28,24 +28,54 @@ def test_latest_row_of_a_key_wins(spark, change, tmp_path):
     assert latest(spark, path, upto=1) == {"a": 5, "b": 1}
 
 
+def compact_all(spark, path, keys=("k",)):
+    for bucket in range(sinks.BUCKETS):
+        sinks.compact(spark, path, list(keys), bucket)
+
+
 def test_running_a_batch_again_replaces_it(spark, change, tmp_path):
     path = str(tmp_path)
-    write = sinks.upsert_batch(path, ["k"], compact_every=2)
+    write = sinks.upsert_batch(path, ["k"])
     for _ in range(2):
         write(change(("a", 1), ("b", 1)), 0)
         write(change(("a", 2)), 1)
     assert latest(spark, path) == {"a": 2, "b": 1}
 
 
-def test_snapshots_replace_the_changes_before_them(spark, change, tmp_path):
+def test_compaction_of_a_bucket_touches_its_files_only(spark, change, tmp_path):
     path = str(tmp_path)
-    write = sinks.upsert_batch(path, ["k"], compact_every=2)
-    for i in range(5):
+    write = sinks.upsert_batch(path, ["k"])
+    for i in range(4):
         write(change((f"k{i}", i), ("all", i)), i)
-    assert sorted(os.listdir(f"{path}/snapshot")) == ["batch_id=1", "batch_id=3"]
+    before = latest(spark, path)
+    bucket = int(next(f for f in os.listdir(f"{path}/changes/run=0/segment=0/batch_id=0") if f.startswith("bucket")).split("=")[1])
+    sinks.compact(spark, path, ["k"], bucket)
+    assert os.listdir(f"{path}/compacted") == [f"bucket={bucket}"] and latest(spark, path) == before
+    compact_all(spark, path)
+    assert latest(spark, path) == before == {"k0": 0, "k1": 1, "k2": 2, "k3": 3, "all": 3}
     files = sinks.read_upserts(spark, path, ["k"]).inputFiles()
-    assert {f.split(path)[1].rsplit("/", 1)[0] for f in files} == {"/snapshot/batch_id=3", "/changes/segment=0/batch_id=4"}
-    assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3, "k4": 4, "all": 4}
+    assert files and all("/compacted/" in f for f in files)
+    write(change(("all", 9), ("new", None)), 4)
+    assert latest(spark, path) == before | {"all": 9, "new": None}
+    compact_all(spark, path)
+    assert latest(spark, path) == before | {"all": 9, "new": None} and latest(spark, path, upto=3) == before
+
+
+def test_a_new_checkpoint_is_a_later_run(spark, transactions, tmp_path):
+    """Its batches stand above compacted ones of larger ids."""
+    def total(amounts, checkpoint):
+        folder = f"{tmp_path}/in-{checkpoint}"
+        for amount in amounts:
+            write_file(transactions([("a", amount, 1)]), folder)
+        changes = balances.account_balances(stream(spark, folder))
+        finish(sinks.upsert_files(changes, f"{tmp_path}/table", ["account_id"]), spark, "run", f"{tmp_path}/{checkpoint}")
+        return rows(sinks.read_upserts(spark, f"{tmp_path}/table", ["account_id"]), "total_balance")
+
+    assert total([1, 1, 5], "first") == [(7.0,)]
+    compact_all(spark, f"{tmp_path}/table", ["account_id"])
+    assert total([100], "second") == [(100.0,)]
+    assert total([2], "first") == [(100.0,)]  # the older run goes on below
+    assert total([3], "second") == [(103.0,)]
 
 
 def test_a_query_that_dies_after_a_write_goes_on_where_it_was(spark, transactions, tmp_path):
@@ -53,7 +83,7 @@ def test_a_query_that_dies_after_a_write_goes_on_where_it_was(spark, transaction
     for amount in (1, 2, 4, 8):
         write_file(transactions([("a", amount, amount), (f"k{amount}", 1, 1)]), f"{tmp_path}/in")
     changes = balances.account_balances(stream(spark, f"{tmp_path}/in"))
-    write = sinks.upsert_batch(f"{tmp_path}/table", ["account_id"], compact_every=2)
+    write = sinks.upsert_batch(f"{tmp_path}/table", ["account_id"])
     failures = [1, 3]
 
     def dying(batch, batch_id):
@@ -71,25 +101,31 @@ def test_a_query_that_dies_after_a_write_goes_on_where_it_was(spark, transaction
         ("a", 15.0), ("k1", 1.0), ("k2", 1.0), ("k4", 1.0), ("k8", 1.0)]
 
 
-def test_unfinished_snapshot_is_not_read(spark, change, tmp_path):
+def test_unfinished_compaction_is_not_read(spark, change, tmp_path):
     path = str(tmp_path)
-    write = sinks.upsert_batch(path, ["k"], compact_every=2)
+    write = sinks.upsert_batch(path, ["k"])
     for i in range(4):
         write(change((f"k{i}", i)), i)
-    os.rename(f"{path}/snapshot/batch_id=3/_SUCCESS", f"{path}/snapshot/batch_id=3/_unfinished")
+    compact_all(spark, path)
+    for bucket in os.listdir(f"{path}/compacted"):
+        for batch in os.listdir(f"{path}/compacted/{bucket}/run=0"):
+            os.rename(f"{path}/compacted/{bucket}/run=0/{batch}/_SUCCESS", f"{path}/compacted/{bucket}/run=0/{batch}/_unfinished")
     assert latest(spark, path) == {"k0": 0, "k1": 1, "k2": 2, "k3": 3}
 
 
 def test_a_reader_lists_only_recent_segments(spark, change, tmp_path, monkeypatch):
     path = str(tmp_path)
     monkeypatch.setattr(sinks, "_SEGMENT_BATCHES", 2)
-    write = sinks.upsert_batch(path, ["k"], compact_every=3)
+    monkeypatch.setattr(sinks, "BUCKETS", 2)
+    write = sinks.upsert_batch(path, ["k"])
     for i in range(7):
-        write(change((f"k{i}", i)), i)
+        write(change((f"k{i}", i), (f"m{i}", i)), i)
+        if i == 5:
+            compact_all(spark, path)
     listed = []
     glob = sinks._glob
     monkeypatch.setattr(sinks, "_glob", lambda spark, pattern: listed.append(pattern) or glob(spark, pattern))
-    assert latest(spark, path) == {f"k{i}": i for i in range(7)}
+    assert latest(spark, path) == {f"{k}{i}": i for i in range(7) for k in "km"}
     assert not [p for p in listed if "segment=0" in p or "segment=1" in p or "segment=2" in p]
 
 
@@ -98,7 +134,8 @@ def test_unfinished_batch_is_not_read(spark, change, tmp_path):
     write = sinks.upsert_batch(path, ["k"])
     write(change(("a", 1)), 0)
     write(change(("a", 2)), 1)
-    os.rename(f"{path}/changes/segment=0/batch_id=1/_SUCCESS", f"{path}/changes/segment=0/batch_id=1/_unfinished")
+    batch = f"{path}/changes/run=0/segment=0/batch_id=1"
+    os.rename(f"{batch}/_SUCCESS", f"{batch}/_unfinished")
     assert latest(spark, path) == {"a": 1}
 
 
