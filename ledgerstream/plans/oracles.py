@@ -129,8 +129,11 @@ ORACLES: dict[str, str] = {
                amount_transferred, fr.ms - tx.ms lag_ms
         from fr left join tx on tx.event_id = fr.event_id - 1""",
     "reported_transactions_stream": _WITH + f"""
-        select report_id, tx.id transaction_id, risk_level, tx.account_id, amount_transferred, fr.ms - tx.ms lag_ms
-        from fr join tx on tx.event_id = fr.event_id - 1 and tx.ms between fr.ms - {_DAY} and fr.ms""",
+        select report_id, named transaction_id, risk_level, tx.account_id, amount_transferred, fr.ms - tx.ms lag_ms
+        from (select *, cast(event_id - 1 as varchar) named from fr) fr
+             left join tx on tx.event_id = fr.event_id - 1 and tx.ms between fr.ms - {_DAY} and fr.ms
+        where tx.id is not null
+           or fr.ms < (select least((select max(ms) from tx), (select max(ms) from fr)) - 10000)""",
     "activity_before_report": _WITH + f"""
         select report_id, fr.account_id, fr.ms reported_at, count(tx.id) transaction_count,
                round(coalesce(sum(amount_transferred), 0), 2) total_amount

@@ -14,7 +14,7 @@ from ledgerstream.operators import alerts, balances, correlation, envelope, rout
 from ledgerstream.operators.envelope import Writer
 from ledgerstream.plans import sqljobs
 from ledgerstream.session import configure, run_dir
-from ledgerstream.sources import bank_events
+from ledgerstream.sources import bank_events, files
 from ledgerstream.streaming import jobs, sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -191,16 +191,23 @@ def account_balances_sql(spark, sf_dir):
 
 @_register
 def account_balances_sql_stream(spark, sf_dir):
-    out = run_dir(spark, "account_balances_sql_stream")
+    out, unique = run_dir(spark, "account_balances_sql_stream"), uuid.uuid4().hex
     properties = {
         "sql.job.name": "Balance Aggregation Stream",
-        "sql.files": "balance_stream/01_source_transactions.sql, balance_stream/02_logic_aggregation.sql",
-        "balance.source.view": _source_view(_streamed(spark, sf_dir)),
+        "sql.files": "events_stream/01_source_events.sql, events_stream/02_transactions.sql, "
+                     "balance_stream/03_sink_balances.sql, balance_stream/04_logic_aggregation.sql",
+        "balance.source.table": f"events_{unique}",
+        "balance.source.format": "parquet",
+        "balance.source.files.per.batch": str(files.PER_BATCH),
+        "balance.source.path": f"{sf_dir}/events.parquet*",  # the glob serves a file as well as a folder
+        "balance.source.view": f"transactions_{unique}",
+        "balance.sink.table": f"balances_{unique}",
+        "balance.sink.path": f"{out}/table",
     }
-    query = sqljobs.start(spark, properties, lambda df: sinks.upsert_files(df, f"{out}/table", ["account_id"]),
-                          checkpoint=f"{out}/checkpoint", available_now=True)
-    query.awaitTermination()
-    _drop_views(spark, properties)
+    sqljobs.start(spark, properties, checkpoint=f"{out}/checkpoint", available_now=True).awaitTermination()
+    spark.catalog.dropTempView(properties["balance.source.view"])
+    for table in ("balance.source.table", "balance.sink.table"):
+        spark.sql(f"DROP TABLE {properties[table]}")  # the files stay
     return _cents(sinks.read_upserts(spark, f"{out}/table", ["account_id"]), "total_balance")
 
 

@@ -1,5 +1,12 @@
--- Streamed transactions with their event time, up to five seconds out of order.
-CREATE OR REPLACE TEMPORARY VIEW transactions AS
-SELECT *
-FROM (SELECT *, timestamp_millis(timestamp) AS ts FROM ${balance.source.view})
-WATERMARK ts DELAY OF INTERVAL 5 SECONDS;
+-- Stored transactions, read as a stream of files.
+CREATE TABLE ${balance.source.table} (
+    id STRING,
+    transaction_type_id INT,
+    account_id STRING,
+    bank_id STRING,
+    amount_transferred DOUBLE,
+    reason STRING,
+    timestamp BIGINT
+) USING ${balance.source.format}
+OPTIONS (maxFilesPerTrigger '${balance.source.files.per.batch}')
+LOCATION '${balance.source.path}';

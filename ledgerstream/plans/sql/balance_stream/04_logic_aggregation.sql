@@ -1,4 +1,5 @@
--- The changed accounts of every micro-batch; the job's sink upserts them.
+-- Everything an account has moved, and when it last did.
+INSERT INTO ${balance.sink.table}
 SELECT account_id, SUM(amount_transferred) AS total_balance, CAST(MAX(ts) AS TIMESTAMP_NTZ) AS last_updated
-FROM transactions
+FROM ${balance.source.view}
 GROUP BY account_id;

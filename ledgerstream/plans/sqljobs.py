@@ -11,12 +11,14 @@ from pathlib import Path
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from ledgerstream.streaming import jobs
+from ledgerstream.streaming import jobs, sinks
 
 log = logging.getLogger(__name__)
 
 SQL_DIR = Path(__file__).parent / "sql"
 DEFAULT_NAME = "Generic SQL Job"
+# Spark SQL has no streamed INSERT: its SELECT is streamed into the table it names.
+_INSERT = re.compile(r"(?:\s|--[^\n]*\n)*INSERT\s+INTO\s+(?:TABLE\s+)?(\S+)\s+", re.IGNORECASE)
 _PLACEHOLDER = re.compile(r"\$\{([^}]*)\}")
 
 
@@ -70,9 +72,42 @@ def run(spark: SparkSession, properties: Mapping[str, str], base: Path = SQL_DIR
     return result
 
 
-def start(spark: SparkSession, properties: Mapping[str, str], sink: Callable[[DataFrame], DataStreamWriter],
-          base: Path = SQL_DIR, checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
-    """Run the files and stream the SELECT of the last one into ``sink``, as a query named ``sql.job.name``."""
-    changes = run(spark, properties, base)
-    name = properties.get("sql.job.name", DEFAULT_NAME)
-    return jobs.start(sink(changes), spark, name, checkpoint, available_now=available_now)
+def table_writer(spark: SparkSession, table: str, rows: DataFrame) -> DataStreamWriter:
+    """Writer of a stream into a table that a SQL file has declared.
+
+    Its properties say how: with ``sink`` = ``upsert`` rows replace those of equal ``sink.keys`` in an upsert table of
+    files at the table's location; otherwise rows are appended to the table.
+    """
+    properties = {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
+    if properties.get("sink") != "upsert":
+        return rows.writeStream.outputMode("append").option("path", _location(spark, table)).format("parquet")
+    return sinks.upsert_files(rows, _location(spark, table), [k.strip() for k in properties["sink.keys"].split(",")])
+
+
+def _location(spark: SparkSession, table: str) -> str:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
+    return described.first().data_type
+
+
+def start(spark: SparkSession, properties: Mapping[str, str],
+          sink: Callable[[DataFrame], DataStreamWriter] | None = None, base: Path = SQL_DIR,
+          checkpoint: str | None = None, available_now: bool = False) -> StreamingQuery:
+    """Run the files as a streaming query named ``sql.job.name``.
+
+    The last file is an INSERT INTO a table declared before, or a SELECT that is streamed into ``sink``.
+    """
+    *before, last = sql_files(properties)
+    if before:
+        run(spark, {**properties, "sql.files": ",".join(before)}, base)
+    try:
+        with _own_substitution(spark):
+            text = fill((base / last).read_text(encoding="utf-8"), properties)
+            into = _INSERT.match(text)
+            changes = spark.sql(text[into.end():] if into else text)
+            if sink is None and not into:
+                raise ValueError("the last file must insert into a table, or a sink be given")
+            writer = sink(changes) if sink else table_writer(spark, into.group(1), changes)
+    except Exception as error:
+        raise SqlFileError(f"SQL file failed: {last}: {error}") from error
+    return jobs.start(writer, spark, properties.get("sql.job.name", DEFAULT_NAME), checkpoint,
+                      available_now=available_now)

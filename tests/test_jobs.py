@@ -86,10 +86,10 @@ def test_account_balances(spark, transactions, topics):
 def test_balances_as_a_sql_job_on_topics(spark, transactions, topics):
     for amount in (1, 2, 4):
         publish(envelope.messages(transactions([("a", amount, amount)]), "Transaction", 2, "json"), topics, "transactions")
-    p = settings(topics, **{
-        "sql.files": "balance_stream/01_source_transactions.sql,balance_stream/02_logic_aggregation.sql",
-        "balance.source.view": "topic_transactions"})
-    jobs.topic_transactions(spark, p, WRITERS, codec="json").createOrReplaceTempView("topic_transactions")
+    p = settings(topics, **{"sql.files": "balance_stream/04_logic_aggregation.sql", "balance.sink.table": "topic",
+                            "balance.source.view": "topic_transactions"})
+    timed = jobs.topic_transactions(spark, p, WRITERS, codec="json").withColumn("ts", F.timestamp_millis("timestamp"))
+    timed.createOrReplaceTempView("topic_transactions")
     query = sqljobs.start(spark, p, lambda changes: jobs.topic_balances(changes, p, 8, 9, "json"),
                           checkpoint=p["checkpoint.dir"], available_now=True)
     query.awaitTermination()

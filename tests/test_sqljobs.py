@@ -60,17 +60,40 @@ def test_balance_job_equals_the_operator(spark, transactions, tmp_path):
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == expected
 
 
-def test_streamed_balance_job(spark, transactions, tmp_path):
+def balance_job(tmp_path, n, **more):
+    return {"sql.files": ", ".join(f"balance_stream/{f}.sql" for f in (
+                "01_source_transactions", "02_transactions", "03_sink_balances", "04_logic_aggregation")),
+            "balance.source.table": f"stored_{n}", "balance.source.format": "parquet", "balance.source.files.per.batch": "1",
+            "balance.source.path": f"{tmp_path}/in", "balance.source.view": f"streamed_{n}", "balance.sink.table": f"sunk_{n}",
+            "balance.sink.path": f"{tmp_path}/table", **more}
+
+
+def test_streamed_balance_job_from_files_alone(spark, transactions, tmp_path):
     for row in DATA:
         write_file(transactions([row]), f"{tmp_path}/in")
-    stream(spark, f"{tmp_path}/in").createOrReplaceTempView("streamed_transactions")
-    query = sqljobs.start(
-        spark,
-        {"sql.files": "balance_stream/01_source_transactions.sql,balance_stream/02_logic_aggregation.sql",
-         "balance.source.view": "streamed_transactions"},
-        lambda changes: sinks.upsert_files(changes, f"{tmp_path}/table", ["account_id"]),
-        checkpoint=f"{tmp_path}/checkpoint", available_now=True)
+    query = sqljobs.start(spark, balance_job(tmp_path, 1), checkpoint=f"{tmp_path}/checkpoint", available_now=True)
     query.awaitTermination()
-    assert query.name == sqljobs.DEFAULT_NAME
+    assert query.name == sqljobs.DEFAULT_NAME and len([p for p in query.recentProgress if p["numInputRows"]]) == 3
     assert rows(sinks.read_upserts(spark, f"{tmp_path}/table", ["account_id"])) == rows(
         balances.account_balances(transactions(DATA)))
+
+
+def test_streamed_select_into_a_sink(spark, transactions, tmp_path):
+    write_file(transactions(DATA), f"{tmp_path}/in")
+    stream(spark, f"{tmp_path}/in").createOrReplaceTempView("streamed_transactions")
+    files(tmp_path, last="-- no insert\nSELECT account_id, SUM(amount_transferred) AS s FROM streamed_transactions GROUP BY account_id")
+    query = sqljobs.start(spark, {"sql.files": "last.sql"}, lambda c: sinks.upsert_files(c, f"{tmp_path}/table", ["account_id"]),
+                          tmp_path, f"{tmp_path}/checkpoint", True)
+    query.awaitTermination()
+    assert rows(sinks.read_upserts(spark, f"{tmp_path}/table", ["account_id"])) == [("a", 6.0), ("b", 2.0)]
+    with pytest.raises(sqljobs.SqlFileError, match="last.sql"):
+        sqljobs.start(spark, {"sql.files": "last.sql"}, base=tmp_path)
+
+
+def test_streamed_insert_into_a_plain_table_appends(spark, transactions, tmp_path):
+    write_file(transactions(DATA), f"{tmp_path}/in")
+    stream(spark, f"{tmp_path}/in").createOrReplaceTempView("streamed_rows")
+    files(tmp_path, sink=f"CREATE TABLE plain_sink (id STRING, account_id STRING) USING parquet LOCATION '{tmp_path}/plain'",
+          last="INSERT INTO plain_sink SELECT id, account_id FROM streamed_rows")
+    sqljobs.start(spark, {"sql.files": "sink.sql, last.sql"}, None, tmp_path, f"{tmp_path}/checkpoint", True).awaitTermination()
+    assert rows(spark.read.parquet(f"{tmp_path}/plain")) == [("0", "a"), ("1", "a"), ("2", "b")]
