@@ -41,8 +41,6 @@ ACCOUNT_BALANCE = T.StructType([
     T.StructField("last_updated", T.TimestampNTZType()),
 ])
 EVENT_TYPES = ("Transaction", "FraudReport")
-RISK_LEVELS = ("LOW", "MEDIUM", "HIGH", "CRITICAL")
-TRANSACTION_TYPES = {1: "Deposit", 2: "Withdrawal", 3: "Transfer", 4: "Payment"}
 
 # A union of records is a struct with one member per branch, exactly one of them non-null.
 BANK_EVENT = T.StructType([

@@ -14,6 +14,8 @@ from ledgerstream.session import configure, shared_dir
 from ledgerstream.sources import kafka
 
 Properties = Mapping[str, str]
+# The id of an output's schema, or the registry's ids by subject.
+SchemaIds = int | Mapping[str, int]
 
 # Default settings of the jobs.
 DEFAULTS = {
@@ -82,11 +84,17 @@ def _read(spark: SparkSession, p: Properties, topic: str, group: str) -> DataFra
     return kafka.read_stream(spark, p["kafka.bootstrap.servers"], topic, group, "earliest", *limits)
 
 
+def _id(ids: SchemaIds, topic: str, part: str = "value") -> int:
+    return ids if isinstance(ids, int) else ids[envelope.subject(topic, part)]
+
+
 def start_event_router(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                       transaction_id: int, fraud_report_id: int, codec: str = "avro",
+                       transaction_id: SchemaIds, fraud_report_id: SchemaIds, codec: str = "avro",
                        reader: str | None = None) -> StreamingQuery:
     """Mixed events from one topic to one topic per type, by a single query."""
     p = settings(properties)
+    transaction_id = _id(transaction_id, p["kafka.transaction.topic"])
+    fraud_report_id = _id(fraud_report_id, p["kafka.fraud-report.topic"])
     configure(spark)
     messages = _read(spark, p, p["kafka.input.topic"], p["kafka.consumer.group.id"])
     outputs = router.Outputs(transaction_id, fraud_report_id, p["kafka.transaction.topic"],
@@ -106,28 +114,29 @@ def topic_transactions(spark: SparkSession, properties: Properties, writers: Map
                                             metrics=f"decode {p[topic_key]}"))
 
 
-def topic_balances(changes: DataFrame, properties: Properties, key_id: int, value_id: int,
+def topic_balances(changes: DataFrame, properties: Properties, key_id: SchemaIds, value_id: SchemaIds,
                    codec: str = "avro", writers: Mapping[int, Writer] | None = None) -> DataStreamWriter:
     """Writer of balances to the compacted topic the settings name, keyed by account."""
     p = settings(properties)
-    out = envelope.balance_messages(changes, key_id, value_id, codec, writers=writers)
+    topic = p["balance.sink.topic"]
+    out = envelope.balance_messages(changes, _id(key_id, topic, "key"), _id(value_id, topic), codec, writers=writers)
     return kafka.write_stream(out, p["kafka.bootstrap.servers"], p["balance.sink.topic"], mode="update")
 
 
 def start_fraud_alerts(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                       alert_id: int, codec: str = "avro", reader: str | None = None) -> StreamingQuery:
+                       alert_id: SchemaIds, codec: str = "avro", reader: str | None = None) -> StreamingQuery:
     """Routed transactions to alerts."""
     p = settings(properties)
     configure(spark)
     transactions = topic_transactions(spark, p, writers, "kafka.transaction.topic", "kafka.consumer.group.id",
                                       codec, reader)
-    out = envelope.messages(fraud_alerts(transactions, p), "Alert", alert_id, codec, writers=writers)
+    out = envelope.messages(fraud_alerts(transactions, p), "Alert", _id(alert_id, p["kafka.output.topic"]), codec, writers=writers)
     writer = kafka.write_stream(out, p["kafka.bootstrap.servers"], p["kafka.output.topic"])
     return _launch(writer, spark, "Fraud Alerts", p)
 
 
 def start_account_balances(spark: SparkSession, properties: Properties, writers: Mapping[int, Writer],
-                           key_id: int, value_id: int, codec: str = "avro",
+                           key_id: SchemaIds, value_id: SchemaIds, codec: str = "avro",
                            reader: str | None = None) -> StreamingQuery:
     """Routed transactions to a compacted topic of balances keyed by account."""
     p = settings(properties)

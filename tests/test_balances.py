@@ -32,7 +32,7 @@ def test_history(transactions):
 
 def run_balances(spark, folder):
     changes = balances.account_balances(stream(spark, f"{folder}/in"))
-    return finish(sinks.upsert_files(changes, f"{folder}/table", ["account_id"], compact_every=2), spark, "balances",
+    return finish(sinks.upsert_files(changes, f"{folder}/table", ["account_id"]), spark, "balances",
                   str(folder))
 
 

@@ -103,8 +103,10 @@ def test_jobs_of_one_dict_have_checkpoints_of_their_own(spark, transactions, top
     publish(envelope.messages(transactions([("b", 1, 10 * MINUTE)]), "Transaction", 2, "json"), topics, "transactions")
     publish(envelope.messages(transactions([("b", 1, 20 * MINUTE)]), "Transaction", 2, "json"), topics, "transactions")
     p = settings(topics)
-    run(jobs.start_account_balances(spark, p, WRITERS, 8, 9, "json"))
-    run(jobs.start_fraud_alerts(spark, p, WRITERS, 4, "json"))
+    subjects = {"account-balances-key": 8, "account-balances-value": 9, "alerts-value": 4}
+    run(jobs.start_account_balances(spark, p, WRITERS, subjects, subjects, "json"))
+    run(jobs.start_fraud_alerts(spark, p, WRITERS, subjects, "json"))
+    assert {bytes(r.key[:5])[-1] for r in sent(spark, topics, "account-balances").collect()} == {8}
     assert sent(spark, topics, "account-balances").count() == 3 and sent(spark, topics, "alerts").count() == 1
 
 
