@@ -19,7 +19,7 @@ MATCH = "array<struct<item_id:bigint,distance:int,first_word:bigint,end_word:big
 KINDS = 4096  # of symbols that have random bits of their own
 SAMPLED = 4  # steps of a walk that make up a key
 AGREEMENT = 0.63  # part of the steps in which a passage of 20 % edits agrees with its item, as measured
-BLOCK_BYTES = 8 << 20  # item texts searched for in one pass; more items take more passes
+BLOCK_BYTES = 2 << 20  # item texts searched for in one pass; more items take more passes
 ROWS, CHARS, PIECE = 4096, 4 << 20, 1 << 20  # texts and characters in a slice, words in a piece of a long text
 _SPLIT = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
@@ -74,20 +74,28 @@ class Items:
         tables = []
         for members, n in zip(self.classes, steps):
             sampled = np.sort(rng.choice(n, SAMPLED, replace=False))
-            keys = defaultdict(list)
-            for item in members:
-                padded = np.append(self.items[item], self.pad)
-                kinds = self.kinds(padded)
-                at, key = 0, 0
-                for step in range(sampled[-1] + 1):
-                    if step in sampled:
-                        key = key * (self.pad + 1) + int(padded[at])
-                    at += int(bits[step, kinds[at]])
-                keys[key].append(item)
-            prefixes = [np.unique([k // (self.pad + 1) ** (SAMPLED - 1 - i) for k in keys]) for i in range(SAMPLED)]
-            tables.append((sampled, prefixes, dict(keys)))
+            read = np.array([self._read(item, bits, sampled) for item in members], np.int64)
+            # What is read up to a sampled step is numbered; a key is the number at the last one.
+            number, known = np.zeros(len(members), np.int64), []
+            for nth in range(SAMPLED):
+                codes, number = np.unique(number * (self.pad + 1) + read[:, nth], return_inverse=True)
+                known.append(codes)
+            first = np.full(self.pad + 1, -1, np.int32)
+            first[known[0]] = np.arange(len(known[0]))
+            by_key = [[members[i] for i in np.flatnonzero(number == k)] for k in range(len(known[-1]))]
+            tables.append((sampled, first, known, by_key))
         return bits, tables
 
+    def _read(self, item: int, bits: np.ndarray, sampled: np.ndarray) -> list[int]:
+        """What the walk over an item reads in the sampled steps."""
+        padded = np.append(self.items[item], self.pad)
+        kinds, at, read = self.kinds(padded), 0, []
+        for step in range(sampled[-1] + 1):
+            if step in sampled:
+                read.append(int(padded[at]))
+            at += int(bits[step, kinds[at]])
+        return read
+
     def kinds(self, tokens: np.ndarray) -> np.ndarray:
         """Symbols of a kind share their random bits, which bounds the tables; the pad is kind 0 and never goes on."""
         return np.where(tokens == self.pad, 0, 1 + tokens % (KINDS - 1)).astype(np.int64)
@@ -117,26 +125,53 @@ class Items:
         for bits, tables in self.walks:
             # Walks that meet stay together, so they are followed once: window -> walk -> position.
             position, walk = every.copy(), np.arange(len(every))
-            alive = [(p, np.zeros(len(p), np.int64)) for p in places]
+            alive = dict(enumerate((p, np.zeros(len(p), np.int64)) for p in places))
+            fresh = set(alive)
             due = defaultdict(list)
-            for c, (sampled, _, _) in enumerate(tables):
+            for c, (sampled, *_) in enumerate(tables):
                 for nth, step in enumerate(sampled.tolist()):
                     due[step].append((c, nth))
             for step in range(max(due) + 1):
                 for c, nth in due.get(step, ()):
-                    windows, keys = alive[c]
-                    keys = keys * (self.pad + 1) + tokens[position[walk[windows]]]
-                    prefixes = tables[c][1][nth]
-                    found = prefixes[np.minimum(np.searchsorted(prefixes, keys), len(prefixes) - 1)] == keys
-                    alive[c] = windows[found], keys[found]
+                    windows, numbers = alive.pop(c)
+                    _, first, known, by_key = tables[c]
+                    read = tokens.take(position.take(walk.take(windows)))
+                    if nth == 0:
+                        fresh.discard(c)
+                        numbers = first.take(read)
+                        held = numbers >= 0
+                    else:
+                        codes = numbers.astype(np.int64) * (self.pad + 1) + read
+                        numbers = np.minimum(np.searchsorted(known[nth], codes), len(known[nth]) - 1)
+                        held = known[nth].take(numbers) == codes
+                    windows, numbers = windows[held], numbers[held]
+                    if nth < SAMPLED - 1:
+                        alive[c] = windows, numbers
+                    else:
+                        for window, key in zip(every[windows].tolist(), numbers.tolist()):
+                            for item in by_key[key]:
+                                yield window, item
+                if not alive:
+                    break
                 position += bits[step].take(kinds.take(position))
-                if step & (step + 1) == 0 or step % 16 == 15:
-                    new = np.concatenate(([True], position[1:] != position[:-1]))
-                    walk, position = (np.cumsum(new) - 1)[walk], position[new]
-            for (windows, keys), (_, _, items) in zip(alive, tables):
-                for window, key in zip(every[windows].tolist(), keys.tolist()):
-                    for item in items[key]:
-                        yield window, item
+                if step & (step + 1) == 0 or step % 8 == 7:
+                    position, walk = self._together(position, walk, None if fresh else [w for w, _ in alive.values()])
+
+    @staticmethod
+    def _together(position: np.ndarray, walk: np.ndarray, alive: list[np.ndarray] | None) -> tuple[np.ndarray, np.ndarray]:
+        """Joins walks that have met, and leaves out those that no window in ``alive`` is on."""
+        if alive is None:
+            new = np.concatenate(([True], position[1:] != position[:-1]))
+            return position[new], (np.cumsum(new) - 1).take(walk)
+        windows = np.concatenate(alive)
+        used = np.zeros(len(position), bool)
+        used[walk.take(windows)] = True
+        kept = np.flatnonzero(used)
+        new = np.concatenate(([True], np.diff(position[kept]) != 0))[:len(kept)]
+        number = np.zeros(len(position), np.int64)
+        number[kept] = np.cumsum(new) - 1
+        walk[windows] = number.take(walk.take(windows))
+        return position[kept][new], walk
 
     def near(self, item: int, region: list[int]) -> bool:
         """Whether some part of the region is within the item's limit of edits (bit-parallel dynamic program)."""
@@ -225,7 +260,7 @@ def contamination(benchmark: DataFrame, text: Column, edits: float = 0.2, min_wo
 
     Each item is reported once for a text, at its nearest passage (ties: the first). Equal items are each reported.
     Items that are null or have fewer than ``min_words`` words are not searched for: chance would find them. A null or
-    empty text holds none (empty array). Items are searched for in blocks of 8 MB of text, one block to a pass over
+    empty text holds none (empty array). Items are searched for in blocks of 2 MB of text, one block to a pass over
     the texts, so that what tasks hold of them is bounded.
     """
     items = benchmark.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t")).dropna()
