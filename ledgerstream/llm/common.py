@@ -14,10 +14,22 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written to the shared folder and read back: computed once, and safe from lost executors."""
+    """``df`` written to the shared folder and read back: computed once, and safe from lost executors.
+
+    What a result still reads stays there, in a folder of that name; ``discard`` removes what nothing reads any more.
+    """
     path = run_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.stored_at = path
+    return table
+
+
+def discard(*tables: DataFrame) -> None:
+    """Removes the files of tables that ``stored`` gave."""
+    for table in tables:
+        path = table.sparkSession.sparkContext._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(table.sparkSession.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def free_name(df: DataFrame, name: str) -> str:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerstream.llm.common import stored
+from ledgerstream.llm.common import discard, stored
 
 OVERHEAD = 16  # bytes a record takes besides its text
 
@@ -37,6 +37,7 @@ def shards(docs: DataFrame, n: int, id_col: str = "doc_id", text_col: str = "tex
         size_of(text_col).alias("_size"), F.crc32(text_col).alias("_crc")), "shard-rows")
     # Written, so that both readers below see the same ranges.
     laid = stored(narrow.repartitionByRange(*order).withColumn("_range", F.spark_partition_id()), "shard-ranges")
+    discard(narrow)
 
     ranges = laid.groupBy("_range").agg(F.sum("_size").alias("_bytes"), F.count("*").alias("_rows"))
     earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)  # one row for each range
