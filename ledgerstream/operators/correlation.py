@@ -97,10 +97,10 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
                             (LAST_BLOCK, last, (first <= last) & (_floor(last, block) > _floor(first, block)))])
     totals = (_running(money, edges, slice_ms).unionByName(_running(slices, blocks, block))
               .groupBy("account_id", "reported_at")
-              .agg(*[F.max(F.when(F.col("part") == p, F.struct("n", "amount"))).alias(f"p{p}")
-                     for p in range(4)]))
-    n = sum((F.coalesce(f"p{p}.n", F.lit(0)) for p in range(4)), F.lit(0).cast("long"))
-    amount = sum((F.coalesce(f"p{p}.amount", F.lit(0.0)) for p in range(4)), F.lit(0.0))
+              .agg(*[F.max(F.when(F.col("part") == p, F.col(c))).alias(f"{c}{p}")
+                     for p in range(4) for c in ("n", "amount")]))  # a look-back has each part once
+    n = sum((F.coalesce(f"n{p}", F.lit(0)) for p in range(4)), F.lit(0).cast("long"))
+    amount = sum((F.coalesce(f"amount{p}", F.lit(0.0)) for p in range(4)), F.lit(0.0))
     totals = totals.select("account_id", "reported_at", n.alias("n"), amount.alias("amount"))
     return asked.join(totals, ["account_id", "reported_at"], "left").select(
         "report_id", "account_id", "reported_at", F.coalesce("n", F.lit(0)).alias("transaction_count"),
