@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ledgerstream.functions import eventtime
 
+BLOCK = 1000  # slices of time that are put in order together
 COLUMNS = ("account_id", "session_start", "session_end", "transaction_count", "total_amount")
 
 
@@ -29,15 +30,31 @@ def _stream_sessions(transactions: DataFrame, gap_ms: int, delay: str) -> DataFr
 def _batch_sessions(transactions: DataFrame, gap_ms: int, delay: str) -> DataFrame:
     """Transactions in one gap-wide slice of time always share a session, so slices are totalled before the
     shuffle and only slices are put in order: a busy account brings one row per slice, not per transaction.
+
+    Slices are put in order by account and block of slices, so a busy account spreads over its blocks. Only the first
+    and the last session of a block can go on in another one; only these are put in order by account.
     """
     at = F.col("timestamp")
-    slices = (transactions.groupBy("account_id", (at - F.pmod(at, F.lit(gap_ms))).alias("slice"))
+    number = (at - F.pmod(at, F.lit(gap_ms))) / gap_ms
+    slices = (transactions.groupBy("account_id", number.cast("long").alias("slice"))
               .agg(F.min(at).alias("first"), F.max(at).alias("last"),
-                   F.count("*").alias("n"), F.sum("amount_transferred").alias("amount")))
-    in_order = Window.partitionBy("account_id").orderBy("slice")
+                   F.count("*").alias("n"), F.sum("amount_transferred").alias("amount"))
+              .withColumn("block", F.floor(F.col("slice") / BLOCK)))
+    blocks = _joined(slices, ["account_id", "block"], gap_ms)
+    newest = F.max("session").over(Window.partitionBy("account_id", "block"))
+    blocks = blocks.withColumn("edge", (F.col("session") == 1) | (F.col("session") == newest))
+    across = _joined(blocks.filter("edge").drop("session"), ["account_id"], gap_ms)
+    return (blocks.filter("not edge").select(*across.columns).unionByName(across)
+            .select("account_id", F.col("first").alias("session_start"), (F.col("last") + gap_ms).alias("session_end"),
+                    F.col("n").alias("transaction_count"), F.col("amount").alias("total_amount")))
+
+
+def _joined(rows: DataFrame, keys: list[str], gap_ms: int) -> DataFrame:
+    """Rows of equal keys joined over pauses of at most the gap; ``session`` numbers them from 1."""
+    in_order = Window.partitionBy(*keys).orderBy("first")
     pause = F.col("first") - F.lag("last").over(in_order)
-    return (slices.withColumn("opens", F.when(pause <= gap_ms, 0).otherwise(1))
+    return (rows.withColumn("opens", F.when(pause <= gap_ms, 0).otherwise(1))
             .withColumn("session", F.sum("opens").over(in_order))
-            .groupBy("account_id", "session")
-            .agg(F.min("first").alias("session_start"), (F.max("last") + gap_ms).alias("session_end"),
-                 F.sum("n").alias("transaction_count"), F.sum("amount").alias("total_amount")))
+            .groupBy(*keys, "session")
+            .agg(F.min("first").alias("first"), F.max("last").alias("last"), F.sum("n").alias("n"),
+                 F.sum("amount").alias("amount")))

@@ -1,6 +1,10 @@
 import random
+import re
+
+import pytest
 
 from helpers import MINUTE, finish, rows, stream, write_file
+from ledgerstream.operators import sessions as module
 from ledgerstream.operators.sessions import COLUMNS, sessions
 from ledgerstream.streaming import sinks
 
@@ -30,9 +34,18 @@ def test_pause_of_exactly_the_gap_joins(transactions):
                 "account_id", "transaction_count") == [("a", 2), ("b", 1), ("b", 1)]
 
 
-def test_busy_account_shuffles_slices_not_rows(transactions):
+@pytest.mark.parametrize("block", [1, 2, 5])
+def test_sessions_across_blocks(monkeypatch, transactions, block):
+    monkeypatch.setattr(module, "BLOCK", block)
+    rng = random.Random(block)
+    for gap in (1, 7, 50):
+        data = [(f"k{rng.randrange(3)}", rng.randrange(-9, 9), rng.randrange(-300, 700)) for _ in range(250)]
+        assert rows(sessions(transactions(data), gap), *COLUMNS) == by_hand(data, gap)
+
+
+def test_busy_account_shuffles_slices_and_spreads(transactions):
     plan = sessions(transactions([("a", 1, 0)]), 1000)._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange") == 2 and "partial_sum" in plan
+    assert "partial_sum" in plan and "hashpartitioning(account_id, block" in re.sub(r"#\d+L?", "", plan)
 
 
 def test_stream_agrees_with_batch(spark, transactions, tmp_path):
