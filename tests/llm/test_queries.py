@@ -1,0 +1,49 @@
+"""The registered queries over whole tables, against SQL or brute force."""
+
+import duckdb
+import pytest
+
+from ledgerstream.llm.oracles import ORACLES
+from ledgerstream.llm.queries import QUERIES
+
+from . import test_lm, test_simhash
+from .test_decontam import nearest, words
+
+
+@pytest.mark.parametrize("name", ORACLES)
+def test_like_sql(spark, sf_dir, name):
+    found = QUERIES[name](spark, sf_dir)
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{sf_dir}/documents.parquet'")
+    expected = duck.sql(ORACLES[name])
+    columns = sorted(found.columns)
+    assert columns == sorted(expected.columns)
+    plain = lambda rows: sorted((tuple(r) for r in rows), key=repr)
+    assert plain(found.select(*columns).collect()) == plain(expected.select(*columns).fetchall())
+
+
+def documents_of(spark, sf_dir):
+    return [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf_dir}/documents.parquet").collect()]
+
+
+def test_leaks(spark, sf_dir):
+    items = [(r.item_id, words(r.text)) for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect()]
+    found = {(r.doc_id, r.item_id): r.distance for r in QUERIES["op6_cgk_decontamination"](spark, sf_dir).collect()}
+    expected = {}
+    for doc_id, text in documents_of(spark, sf_dir):
+        held = words(text)
+        for item_id, item in items:
+            if len(set(item) & set(held)) >= 0.5 * len(set(item)):  # fewer shared words are more edits
+                distance = nearest(item, held)
+                if distance <= int(0.2 * len(item)):
+                    expected[doc_id, item_id] = distance
+    assert found == expected and found
+
+
+def test_scores(spark, sf_dir):
+    assert test_lm.base(QUERIES["op8_gru_scores"](spark, sf_dir)) == test_lm.brute(documents_of(spark, sf_dir))
+
+
+def test_near_duplicates(spark, sf_dir):
+    found = QUERIES["op9_simhash_index"](spark, sf_dir).collect()
+    assert sorted(map(tuple, found), key=repr) == test_simhash.brute(documents_of(spark, sf_dir))
