@@ -77,7 +77,10 @@ class Encoder:
 
 
 def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:
-    """The bundle of all texts of each non-null language. A task sends one vector for each of its languages."""
+    """The bundle of all texts of each non-null language; languages are taken to be few.
+
+    A task sends one vector for each of its languages, and the sums, one for each language, go to the driver.
+    """
 
     def bundle(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         encoder, sums = Encoder(), {}

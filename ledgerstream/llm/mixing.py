@@ -38,14 +38,14 @@ def rates(docs: DataFrame, weights: Mapping[str | None, float] | None = None, po
     """
     sizes = docs.groupBy(F.col(source_col).alias("source")).agg(F.sum(size_of(text_col)).alias("size"))
     if weights is None:
-        weight = F.pow(F.col("size").cast("double"), F.lit(float(power)))
+        sized = sizes.withColumn("_w", F.pow(F.col("size").cast("double"), F.lit(float(power))))
     else:
-        weight = F.lit(0.0)
-        for name, value in weights.items():
-            weight = F.when(F.col("source").eqNullSafe(F.lit(name)), F.lit(float(value))).otherwise(weight)
+        kind = docs.select(source_col).schema[0].dataType.simpleString()
+        given = docs.sparkSession.createDataFrame([(n, float(w)) for n, w in weights.items()], f"_s {kind}, _w double")
+        sized = (sizes.join(given, sizes["source"].eqNullSafe(given["_s"]), "left")
+                 .select("source", "size", F.coalesce("_w", F.lit(0.0)).alias("_w")))
     everything = Window.partitionBy()  # one row for each source
-    part = F.col("_w") / F.sum("_w").over(everything)
-    sized = sizes.withColumn("_w", weight)
+    part = F.col("_w") / F.nullif(F.sum("_w").over(everything), F.lit(0.0))
     return sized.select("source", "size", part.alias("weight"),
                         (part * F.sum("size").over(everything) * float(total) / F.col("size")).alias("rate"))
 

@@ -71,3 +71,10 @@ def test_order_is_global_within_files(documents):
 
 def test_empty(documents):
     assert mixing.mix(documents([])).count() == 0
+
+
+def test_many_weights_and_none_that_fit(documents):
+    docs = documents([(i, "t", "en", f"s{i % 3}", 1) for i in range(300)])
+    many = {f"s{i}": 1.0 for i in range(3000)}
+    assert abs(mixing.mix(docs, many).count() - 300) < 100
+    assert mixing.mix(docs, {"other": 1.0}).count() == 0 and mixing.mix(docs, {}).count() == 0
