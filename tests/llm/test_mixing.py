@@ -36,7 +36,7 @@ def brute(rows, weights=None, total=1.0):
     return Counter(r for r in rows for _ in range(draw(r[0], rate[r[3]]) if rate[r[3]] else 0))
 
 
-@pytest.mark.parametrize("weights, total", [(None, 1.0), ({"a": 1, "b": 3}, 2.0), ({None: 1}, 30.0), ({"a": 1}, 500.0)])
+@pytest.mark.parametrize("weights, total", [(None, 1.0), ({"a": 1, "b": 3}, 2.0), ({None: 1}, 0.002), ({"a": 1}, 0.05)])
 def test_like_brute_force(awkward, weights, total):
     found = mixing.mix(awkward, weights, total=total)
     assert Counter(map(tuple, found.select(*awkward.columns).collect())) == brute(AWKWARD, weights, total)
