@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -61,8 +62,13 @@ class Model:
         recurrent = h @ self.weights["state"]
         gates = _sigmoid(given[:, :2 * n] + recurrent[:, :2 * n])
         update, reset = gates[:, :n], gates[:, n:]
-        candidate = np.tanh(given[:, 2 * n:] + reset * recurrent[:, 2 * n:])
-        return update, reset, candidate, recurrent[:, 2 * n:], candidate + update * (h - candidate)
+        candidate = reset * recurrent[:, 2 * n:]
+        candidate += given[:, 2 * n:]
+        np.tanh(candidate, out=candidate)
+        new = h - candidate
+        new *= update
+        new += candidate
+        return update, reset, candidate, recurrent[:, 2 * n:], new
 
     # -- output
 
@@ -112,19 +118,18 @@ class Model:
     def gradients(self, before: np.ndarray, symbols: np.ndarray, mask: np.ndarray, h: np.ndarray):
         """Gradients over one window (time, text), back to its start only; the last state; the summed loss."""
         w, n, (steps, width) = self.weights, HIDDEN, symbols.shape
-        given = (w["embed"][before] @ w["input"] + w["bias"]).astype(np.float32)
-        kept, states = [], np.empty((steps, width, n), np.float32)
-        first = h
+        given = (w["embed"] @ w["input"] + w["bias"])[before]
+        given[~mask, :n] = np.inf  # the update gate of a text that has ended is 1, which hands its state on
+        kept = np.empty((4, steps, width, n), given.dtype)
+        states = np.empty((steps + 1, width, n), given.dtype)
+        states[0] = h
         for t in range(steps):
-            *gates, new = self.step(given[t], h)
-            h = np.where(mask[t][:, None], new, h)
-            kept.append(gates)
-            states[t] = h
+            *kept[:, t], states[t + 1] = self.step(given[t], states[t])
         grads = {k: np.zeros_like(v) for k, v in w.items()}
         live = np.flatnonzero(mask.ravel())
-        after, loss = np.zeros((steps * width, n), np.float32), 0.0
+        after, loss = np.zeros((steps * width, n), given.dtype), 0.0
         if len(live):
-            s, wanted = states.reshape(-1, n)[live], symbols.ravel()[live]
+            s, wanted = states[1:].reshape(-1, n)[live], symbols.ravel()[live]
             classes = self.class_of[wanted]
             scores = s @ w["to_class"] + w["class_bias"]
             loss -= float((scores[np.arange(len(live)), classes] - _logsum(scores)).sum())
@@ -144,25 +149,31 @@ class Model:
                     back[rows] += wrong @ w["to_symbol"][a:b]
             after[live] = back
         after = after.reshape(steps, width, n)
-        later, given_grad = np.zeros((width, n), np.float32), np.zeros_like(given)
+        update, reset, candidate, recurrent = kept
+        to_candidate = (1 - update) * (1 - candidate ** 2)
+        to_update = (states[:-1] - candidate) * update * (1 - update)
+        to_reset = recurrent * reset * (1 - reset)
+        through, given_grad = np.empty((2, steps, width, 3 * n), given.dtype)
+        later, back_state = np.zeros((width, n), given.dtype), np.ascontiguousarray(w["state"].T)
         for t in range(steps - 1, -1, -1):
-            update, reset, candidate, recurrent = kept[t]
-            old, on = states[t - 1] if t else first, mask[t][:, None]
             d = later + after[t]
-            dh = np.where(on, d, 0)
-            d_candidate = dh * (1 - update) * (1 - candidate ** 2)
-            d_update = dh * (old - candidate) * update * (1 - update)
-            d_reset = d_candidate * recurrent * reset * (1 - reset)
-            g = np.concatenate([d_update, d_reset, d_candidate], 1)
-            given_grad[t] = g
-            through = np.concatenate([d_update, d_reset, d_candidate * reset], 1)
-            grads["state"] += old.T @ through
-            later = np.where(on, dh * update, d) + through @ w["state"].T
-        flat = given_grad.reshape(-1, 3 * n)
-        grads["bias"] = flat.sum(0)
-        grads["input"] = w["embed"][before.ravel()].T @ flat
-        np.add.at(grads["embed"], before.ravel(), flat @ w["input"].T)
-        return grads, h, loss
+            g = given_grad[t]
+            np.multiply(d, to_update[t], out=g[:, :n])
+            np.multiply(d, to_candidate[t], out=g[:, 2 * n:])
+            np.multiply(g[:, 2 * n:], to_reset[t], out=g[:, n:2 * n])
+            through[t, :, :2 * n] = g[:, :2 * n]
+            np.multiply(g[:, 2 * n:], reset[t], out=through[t, :, 2 * n:])
+            later = d * update[t] + through[t] @ back_state
+        grads["state"] = states[:-1].reshape(-1, n).T @ through.reshape(-1, 3 * n)
+        # Every input is one of the symbols: their gradients are added up before the products.
+        order = np.argsort(before.ravel(), kind="stable")
+        met = before.ravel()[order]
+        firsts = np.flatnonzero(np.append(True, np.diff(met) > 0))
+        sums = np.add.reduceat(given_grad.reshape(-1, 3 * n)[order], firsts)
+        grads["bias"] = sums.sum(0)
+        grads["input"] = w["embed"][met[firsts]].T @ sums
+        grads["embed"][met[firsts]] = sums @ w["input"].T
+        return grads, states[-1], loss
 
     def train(self, texts: list[np.ndarray], batch: int = 64, rate: float = 0.01, clip: float = 1.0) -> tuple[Model, int]:
         """One pass of truncated backpropagation through time over whole texts (each with its end); symbols seen.
@@ -184,17 +195,20 @@ class Model:
             before = np.concatenate([np.full((1, len(rows)), END, np.int32), symbols[:-1]])
             h = np.zeros((len(rows), HIDDEN), np.float32)
             for at in range(0, longest, WINDOW):
-                on = mask[at:at + WINDOW]
-                grads, h, _ = model.gradients(before[at:at + WINDOW], symbols[at:at + WINDOW], on, h)
+                live = int(mask[at].sum())  # the longest come first
+                on = mask[at:at + WINDOW, :live]
+                grads, h, _ = model.gradients(before[at:at + WINDOW, :live], symbols[at:at + WINDOW, :live], on, h[:live])
                 seen, updates = seen + int(on.sum()), updates + 1
-                norm = np.sqrt(sum(float((g ** 2).sum()) for g in grads.values()))
+                norm = math.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
                 scale = min(1.0, clip / max(norm, 1e-9))
-                pace = rate * np.sqrt(1 - 0.999 ** updates) / (1 - 0.9 ** updates) * min(1.0, on.sum() / (batch * WINDOW / 4))
+                pace = float(rate * math.sqrt(1 - 0.999 ** updates) / (1 - 0.9 ** updates)
+                             * min(1.0, float(on.sum()) / (batch * WINDOW / 4)))
                 for k, g in grads.items():
                     m, v = moments[k]
-                    m += 0.1 * (g * scale - m)
-                    v += 0.001 * ((g * scale) ** 2 - v)
-                    model.weights[k] -= (pace * m / (np.sqrt(v) + 1e-8)).astype(np.float32)
+                    g = g * scale
+                    m += 0.1 * (g - m)
+                    v += 0.001 * (g ** 2 - v)
+                    model.weights[k] -= pace * m / (np.sqrt(v) + 1e-8)
         return model, seen
 
 
@@ -207,7 +221,11 @@ def _by_class(classes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+    x = 0.5 * x
+    np.tanh(x, out=x)
+    x *= 0.5
+    x += 0.5
+    return x
 
 
 def _logsum(scores: np.ndarray) -> np.ndarray:

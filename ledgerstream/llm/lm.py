@@ -19,7 +19,7 @@ from ledgerstream.llm.gru import END, Model
 KNOWN = 1 << 17  # words, the most frequent, whose counts are sent to every task; the others' are joined
 SYMBOLS = 1024  # of the recurrent model: the end, the most frequent words, and one for all others
 WARM = 256  # texts that the first model is fitted to
-SHARE = 32  # one in so many training texts trains the model further
+BESIDE = 256  # texts that run side by side when the model is trained further
 HELD = 1 << 19  # words a task counts before it hands them on
 ROWS, CHARS = 4096, 16 << 20
 
@@ -99,9 +99,9 @@ def _symbols(ids: dict[bytes, int], vocabulary: Vocabulary, text: str | None) ->
 def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     """Trains the recurrent model.
 
-    A few texts (``WARM``, of smallest hash) give a first model. Then each task trains it further over its share of one
-    in ``SHARE`` of all training texts, whole ones, by truncated backpropagation, and the tasks' weights are averaged by
-    the tokens they saw. What is learned from grows with the input; a task holds its share's symbols only.
+    A few texts (``WARM``, of smallest hash) give a first model. Then each task trains it further over all its
+    training texts, whole ones, by truncated backpropagation, and the tasks' weights are averaged by the tokens they saw.
+    A task holds the symbols of one batch of rows only.
     """
     ids = vocabulary.ids()
     hashed = texts.select("text", F.xxhash64("_id", "text").alias("h"))
@@ -113,13 +113,12 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         ids, trained, total = vocabulary.ids(), model, 0
         for batch in batches:
-            trained, n = trained.train([_symbols(ids, vocabulary, t) for t in batch["text"]])
+            trained, n = trained.train([_symbols(ids, vocabulary, t) for t in batch["text"]], BESIDE)
             total += n
         if total:
             yield pd.DataFrame({"tokens": [total], "weights": [trained.flat()]})
 
-    share = hashed.filter(F.pmod(F.col("h"), F.lit(SHARE)) == 1).select("text")
-    trained = share.mapInPandas(further, "tokens bigint, weights array<float>")
+    trained = texts.select("text").mapInPandas(further, "tokens bigint, weights array<float>")
     means = (trained.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i")
              .agg((F.sum(F.col("w").cast("double") * F.col("tokens")) / F.sum("tokens")).alias("w"))
              .toPandas().sort_values("i"))  # one row for each weight of the model

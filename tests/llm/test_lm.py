@@ -115,6 +115,19 @@ def test_new_model_is_the_unigram(n):
     assert np.allclose(found, (counts + 1) / (counts + 1).sum(), rtol=1e-3)
 
 
+def test_every_training_text_teaches(monkeypatch, documents):
+    monkeypatch.setattr(lm, "WARM", 1)
+    vocabulary = lm.Vocabulary([(f"w{j}", 9 - j) for j in range(8)], 12, 44, 8)
+
+    def learned(changed=None):
+        rows = [(i, "w0 w3 w5 w1 w2" if i == changed else f"w{i % 8} w{i % 5} w{i % 3}") for i in range(12)]
+        texts = documents(rows).selectExpr("doc_id AS _id", "text").coalesce(1)
+        return lm.fit(texts, vocabulary).flat()
+
+    whole = learned()
+    assert all(not np.allclose(whole, learned(i), atol=1e-6) for i in (2, 5, 8))
+
+
 def test_beats_the_unigram_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [r for r in lm.score(docs, remainder("doc_id", 7) == 2).collect() if r.held_out]
