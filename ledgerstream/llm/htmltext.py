@@ -196,29 +196,17 @@ def main_text(page: str | None) -> str:
     return "\n".join(b.text for b in kept)
 
 
-def _place(blocks: list[Block], chosen: list[Block], share: float = 0.8) -> int:
-    """The innermost element that holds most of the chosen text, with the headings that stand before it."""
-    elements = {}
-    for b in blocks:
-        at = b.holder
-        while at:
-            elements[at.number] = at
-            at = at.parent
-    weight = defaultdict(int)
-    for b in chosen:
-        for n in b.chain:
-            weight[n] += len(b.text)
-    articles = [n for n, e in elements.items() if e.tag == "article" and not e.apart]
-    if articles and sum(weight[n] for n in articles) > 0:
-        return max(articles, key=lambda n: (weight[n], -n))
-    children = defaultdict(list)
-    for e in elements.values():
-        if e.parent:
-            children[e.parent.number].append(e)
-    at = elements[0]
-    while inner := [e for e in children[at.number]
-                    if e.tag in HOLDERS and weight[e.number] >= share * weight[at.number] > 0]:
-        at = inner[0]
+def _place(blocks: list[Block], chosen: list[Block]) -> int:
+    """The innermost element that holds every chosen block, or the article around it, with the headings before it."""
+    shared = set.intersection(*(b.chain for b in chosen))
+    at = chosen[0].holder
+    while at.parent and (at.number not in shared or at.tag not in HOLDERS):
+        at = at.parent
+    around = at
+    while around.parent and around.tag != "article":
+        around = around.parent
+    if around.tag == "article":
+        return around.number
     while at.parent and at.parent.tag not in ("html", "body") and all(
             b.holder.tag in HEADINGS for b in blocks if at.parent.number in b.chain and at.number not in b.chain):
         at = at.parent
@@ -233,8 +221,8 @@ def extract(page: Column) -> Column:
     readers' comments, by tag or by the words of class, id and role, is left out, and so are list items that are links
     as a whole. Each path gets its text per block times its punctuation per block; the value is smoothed over
     the blocks' order and joined with the path's own. Paths whose mean reaches the page's standard deviation are content. The
-    article is the ``article`` element with most of the content, or else the innermost element with 80 % of it (with
-    headings before it); all its blocks are returned in order, one to a line, with references decoded and white space
+    article is the innermost element that holds every block of content, or the ``article`` element around that, or else
+    with the headings before it; all its blocks are returned in order, one to a line, with references decoded and white space
     turned into one space. A line break element counts as white space. Null, empty and textless pages give an empty text.
     """
 

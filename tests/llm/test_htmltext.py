@@ -58,3 +58,12 @@ def test_nulls_and_empty_tables(spark):
     pages = spark.createDataFrame([(1, None, None), (None, "u", "<p>a, b</p>"), (1, None, None)], "page_id bigint, url string, html string")
     assert sorted((r.t for r in pages.select(extract(F.col("html")).alias("t")).collect())) == ["", "", "a, b"]
     assert pages.limit(0).select(extract(F.col("html"))).count() == 0
+
+
+def test_no_chosen_block_is_left_out():
+    card = "<article><p>Card text, short; and some more of it, as cards have.</p></article>"
+    inside = main_text(f"<html><body><div id=content>{BODY}{card}</div></body></html>")
+    assert all(line in inside for line in TEXT.split("\n"))
+    halves = BODY.split("\n")
+    split = "".join(f"<article>{''.join(part)}</article>" for part in (halves[:2], halves[2:]))
+    assert main_text(f"<html><body><div id=content>{split}</div></body></html>") == TEXT
