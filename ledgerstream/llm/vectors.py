@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from ledgerstream.llm.common import stored
 
+MARGIN = 1e-12  # the product's last digits may differ from the exact score's
+PAIRS = 1 << 14  # pairs that are scored exactly at once
 SAMPLE = 8192  # vectors that the partitions are learned from, at most
 TESTED = 512  # of them, vectors whose neighbours tell how many partitions to probe
 NEIGHBOURS = 10  # of each vector in the graph
@@ -220,14 +222,18 @@ def _compare(base: pd.DataFrame, queries: pd.DataFrame, k: int) -> pd.DataFrame:
         return pd.DataFrame({"_query": [], "_rep": [], "score": []}).astype({"_query": "int64", "_rep": "int64"})
     (values, unit), (asked, asked_unit) = _matrix(base["_vec"]), _matrix(queries["_vec"])
     reps, out = base["_key"].to_numpy(), []
-    few = min(len(base), k + 3)  # the product's last digits may differ from the exact score's
+    few = min(len(base), k)
     for at in range(0, len(asked), 512):
         near = asked_unit[at:at + 512] @ unit.T
-        picks = np.argpartition(-near, few - 1, axis=1)[:, :few] if few < len(base) else np.tile(np.arange(few), (len(near), 1))
-        q, v = asked[at:at + 512, None, :], values[picks]
-        scores = (q * v).sum(2) / (np.sqrt((q * q).sum(2)) * np.sqrt((v * v).sum(2)))
-        order = np.lexsort((reps[picks], -scores), axis=1)[:, :k]
-        rows = np.arange(len(near))[:, None]
-        out.append(pd.DataFrame({"_query": np.repeat(queries["_key"].to_numpy()[at:at + 512], order.shape[1]),
-                                 "_rep": reps[picks][rows, order].ravel(), "score": scores[rows, order].ravel()}))
+        least = np.partition(near, len(base) - few, axis=1)[:, len(base) - few]
+        rows, picks = np.nonzero(near >= least[:, None] - MARGIN)
+        scores = np.empty(len(rows))
+        for i in range(0, len(rows), PAIRS):
+            q, v = asked[at + rows[i:i + PAIRS]], values[picks[i:i + PAIRS]]
+            scores[i:i + PAIRS] = (q * v).sum(1) / (np.sqrt((q * q).sum(1)) * np.sqrt((v * v).sum(1)))
+        order = np.lexsort((reps[picks], -scores, rows))
+        firsts = np.searchsorted(rows, np.arange(len(near)))  # the rows are in order already
+        order = order[np.arange(len(rows)) - firsts[rows] < k]
+        out.append(pd.DataFrame({"_query": queries["_key"].to_numpy()[at + rows[order]],
+                                 "_rep": reps[picks[order]], "score": scores[order]}))
     return pd.concat(out)

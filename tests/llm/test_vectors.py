@@ -79,3 +79,11 @@ def test_recall_on_the_table(spark, sf_dir):
     rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
     truth, held = brute(rows), found(df)
     assert len({(q, v) for q, _, v, _ in truth} & {(q, v) for q, _, v, _ in held}) >= 0.9 * len(truth) > 0
+
+
+def test_ties_beyond_the_product_keep_the_smallest_ids():
+    import pandas as pd
+    # Copies of one direction at other lengths, powers of two: their exact scores are equal.
+    base = pd.DataFrame({"_key": range(40), "_vec": [[3.0 * 2 ** (i % 20), 4.0 * 2 ** (i % 20)] for i in range(40)]}).iloc[::-1]
+    found = vectors._compare(base, pd.DataFrame({"_key": [99], "_vec": [[3.0, 4.0]]}), 6)
+    assert found["_rep"].tolist() == list(range(6)) and found["_query"].tolist() == [99] * 6
