@@ -12,15 +12,23 @@ from ledgerstream.session import run_dir
 # A-Z only, whatever the language of the text.
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Shuffle files go as soon as the table that they were made for is written, not with the driver's next collection.
+FREED = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, and safe from lost executors.
 
     What a result still reads stays there, in a folder of that name; ``discard`` removes what nothing reads any more.
     """
-    path = run_dir(df.sparkSession, name)
-    df.write.parquet(path)
-    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    spark = df.sparkSession
+    path, before = run_dir(spark, name), spark.conf.get(FREED, "false")
+    spark.conf.set(FREED, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREED, before)
+    table = spark.read.schema(df.schema).parquet(path)
     table.stored_at = path
     return table
 

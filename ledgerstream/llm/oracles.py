@@ -28,14 +28,17 @@ from copies
 """
 
 # The table of CRC-32 follows from its polynomial by eight shifts of each byte.
-ORACLES["op2_byte_shards"] = """
-with recursive shifted as (
+CRCS = """
+shifted as (
     select b, 0 as step, b::bigint as r from range(256) t(b)
     union all
     select b, step + 1, case when r & 1 = 1 then xor(r >> 1, 3988292384) else r >> 1 end from shifted where step < 8
 ), crcs as (
     select list(r order by b) as t from shifted where step = 8
-), sized as (
+)"""
+
+ORACLES["op2_byte_shards"] = """
+with recursive """ + CRCS + """, sized as (
     select doc_id, coalesce(octet_length(encode(text)), 0) + 16 as size, md5(text) as digest,
         xor(list_reduce(list_prepend(4294967295::bigint, list_transform(range(octet_length(encode(text))),
             lambda i: ('0x' || substr(hex(encode(text)), 2 * i + 1, 2))::bigint)),
@@ -51,3 +54,73 @@ select doc_id, size::bigint as size, text_crc32, 'bytes' as law, shard,
     place - min(place) over (partition by shard) as slot, null::int as grown_shard
 from cut
 """
+
+
+def _field(value: str) -> str:
+    return f"coalesce(octet_length(encode({value}::varchar)) || ':' || {value}::varchar, '-')"
+
+
+def _leaf(text: str) -> str:
+    return f"sha256({' || '.join(_field(c) for c in ('doc_id', 'source', 'lang', 'n_chars', text))})"
+
+
+def _levels(name: str, group: str, first: str, n: int) -> str:
+    """Levels 1 to n above ``first`` (group, place, node, path so far, folded version, its row's leaf place)."""
+    parts, before = [], first
+    for level in range(1, n + 1):
+        parts.append(f"""
+{name}{level} as (
+    select {group}, place // 3 as place, case when any_value(n) = 1 then any_value(node)
+        else sha256(string_agg(node, '' order by place)) end as node
+    from (select *, count(*) over (partition by {group}) as n from {before}) group by {group}, place // 3
+)""")
+        before = f"{name}{level}"
+    return ",".join(parts)
+
+
+def _climb(name: str, group: str, rows: str, first: str, tree: str, n: int) -> str:
+    """Carries each row's proof and folded node up n levels of a tree."""
+    parts, before = [], rows
+    for level in range(1, n + 1):
+        nodes = first if level == 1 else f"{tree}{level - 1}"
+        parts.append(f"""
+{name}{level} as (
+    select c.* replace (c.spot // 3 as spot, c.proof || coalesce(l.before, '') || coalesce(l.after, '') as proof,
+        case when l.alone then c.folded
+            else sha256(coalesce(l.before, '') || c.folded || coalesce(l.after, '')) end as folded)
+    from {before} c join (
+        select {group}, place, count(*) over (partition by {group}) = 1 as alone, string_agg(node, '') over (
+                partition by {group}, place // 3 order by place rows between unbounded preceding and 1 preceding) as before,
+            string_agg(node, '') over (
+                partition by {group}, place // 3 order by place rows between 1 following and unbounded following) as after
+        from {nodes}
+    ) l on c.{group} is not distinct from l.{group} and c.spot = l.place
+)""")
+        before = f"{name}{level}"
+    return ",".join(parts)
+
+
+# Levels: enough for 3^14 rows of a source and 3^7 sources.
+DEEP, WIDE = 14, 7
+ORACLES["op12_merkle_manifest"] = f"""
+with recursive {CRCS}, leaves as (
+    select doc_id, source, {_leaf('text')} as node,
+        row_number() over (partition by source order by doc_id nulls first, {_leaf('text')}) - 1 as place,
+        case when doc_id is not null and xor(list_reduce(list_prepend(4294967295::bigint, list_transform(
+            range(length(doc_id::varchar)), lambda i: ascii(substr(doc_id::varchar, i + 1, 1))::bigint)),
+            lambda r, b: xor(r >> 8, t[(xor(r, b) & 255) + 1])), 4294967295) % 2 = 0
+            then {_leaf("replace(text, chr(10), '')")} else {_leaf('text')} end as changed
+    from documents, crcs
+), {_levels('n', 'source', 'leaves', DEEP)}, subroots as (
+    select '' as one, source, node, row_number() over (order by source is not null, encode(source)) - 1 as place
+    from n{DEEP}
+), {_levels('m', 'one', 'subroots', WIDE)}, start as (
+    select doc_id, source, node as leaf, place as spot, '' as proof, changed as folded from leaves
+), {_climb('c', 'source', 'start', 'leaves', 'n', DEEP)}, middle as (
+    select c.* replace (s.place as spot), s.node as subroot, '' as one
+    from c{DEEP} c join subroots s on c.source is not distinct from s.source
+), {_climb('d', 'one', 'middle', 'subroots', 'm', WIDE)}
+select doc_id, leaf, subroot, m.node as root, sha256(proof) as proof_sha256, folded as folded_root,
+    folded = m.node as verified
+from d{WIDE} d, m{WIDE} m
+"""

@@ -1,0 +1,100 @@
+import hashlib
+import zlib
+from collections import defaultdict
+
+import pytest
+
+from ledgerstream.llm import manifest
+
+from .conftest import AWKWARD
+
+H = lambda parts: hashlib.sha256("".join(parts).encode()).hexdigest()
+ORDER = lambda v: (v is not None, v if v is not None else 0)
+
+
+def leaf(row, text):
+    doc_id, _, lang, source, n_chars = row
+    return H(["-" if v is None else f"{len(str(v).encode())}:{v}" for v in (doc_id, source, lang, n_chars, text)])
+
+
+def climb(nodes):
+    """Root and each node's siblings by level, straight from the definition."""
+    ways, at = [[] for _ in nodes], list(range(len(nodes)))
+    while len(nodes) > 1:
+        runs = [nodes[i:i + 3] for i in range(0, len(nodes), 3)]
+        for way, i in zip(ways, at):
+            way.append((i % 3, [n for j, n in enumerate(runs[i // 3]) if j != i % 3]))
+        nodes, at = [H(r) for r in runs], [i // 3 for i in at]
+    return nodes[0], ways
+
+
+def changed(row):
+    if row[0] is not None and zlib.crc32(str(row[0]).encode()) % 2 == 0 and row[1] is not None:
+        return row[1].replace("\n", "")
+    return row[1]
+
+
+def brute(rows):
+    groups = defaultdict(list)
+    for row in rows:
+        groups[row[3]].append((row[0], leaf(row, row[1]), leaf(row, changed(row))))
+    sources = sorted(groups, key=lambda s: (s is not None, (s or "").encode()))
+    trees = {s: climb([r[1] for r in sorted(groups[s], key=lambda r: (ORDER(r[0]), *r[1:]))]) for s in sources}
+    root, over = climb([trees[s][0] for s in sources]) if sources else (None, [])
+    out = []
+    for s, up in zip(sources, over):
+        for (doc_id, own, other), way in zip(sorted(groups[s], key=lambda r: (ORDER(r[0]), *r[1:])), trees[s][1]):
+            folded = other
+            for slot, siblings in way + up:
+                folded = H([*siblings[:slot], folded, *siblings[slot:]])
+            proof = H([x for _, siblings in way + up for x in siblings])
+            out.append((doc_id, own, trees[s][0], root, proof, folded, folded == root))
+    return sorted(out, key=repr)
+
+
+def found(docs):
+    return sorted(map(tuple, manifest.manifest(docs, manifest.tampered()).collect()), key=repr)
+
+
+@pytest.fixture(params=[1, 2])
+def height(request, monkeypatch):
+    monkeypatch.setattr(manifest, "HEIGHT", request.param)
+    monkeypatch.setattr(manifest, "BLOCK", manifest.FAN ** request.param)
+
+
+ROWS = [(i, f"line {i}\nand more" if i % 4 else f"one line {i}", "en", "hot" if i % 3 else f"s{i % 5}", i) for i in range(60)]
+
+
+def test_like_brute_force(documents, height):
+    rows = ROWS + [(500, "lone", "en", None, 4), (501, "a\n", "en", "", 2), (502, "b\n", "en", "é", 2)]
+    assert found(documents(rows)) == brute(rows)
+    assert {r[-1] for r in brute(rows)} == {True, False}
+
+
+def test_awkward(awkward, clashing):
+    assert found(awkward) == brute(AWKWARD)
+    assert found(clashing) == brute(AWKWARD)
+
+
+def test_empty(documents):
+    assert found(documents([])) == []
+
+
+def test_many_sources(documents, monkeypatch):
+    monkeypatch.setattr(manifest, "HEIGHT", 2)
+    monkeypatch.setattr(manifest, "BLOCK", 9)
+    rows = [(i, f"t\n{i}", "en", f"s{i}", i) for i in range(100)]
+    assert found(documents(rows)) == brute(rows)
+
+
+def test_versions_share_all_but_the_copied_path(documents):
+    """Each version's nodes are the leaf's ancestors alone; the last is the root its proof folds to."""
+    docs = documents(ROWS)
+    folded = {r.doc_id: (r.folded_root, r.verified) for r in manifest.manifest(docs, manifest.tampered()).collect()}
+    versions = defaultdict(dict)
+    for r in manifest.versions(docs, manifest.tampered()).collect():
+        versions[r.doc_id][r.level] = r.node
+    assert set(versions) == {i for i, (_, verified) in folded.items() if not verified}
+    for doc_id, nodes in versions.items():
+        assert sorted(nodes) == list(range(len(nodes))) and len(nodes) <= 7
+        assert nodes[len(nodes) - 1] == folded[doc_id][0]
