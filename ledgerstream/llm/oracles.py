@@ -124,3 +124,75 @@ select doc_id, leaf, subroot, m.node as root, sha256(proof) as proof_sha256, fol
     folded = m.node as verified
 from d{WIDE} d, m{WIDE} m
 """
+
+ORACLES["op11_collocation_tiles"] = r"""
+with lowered as (
+    select row_number() over () as d, coalesce(lang, 'und') as lang,
+        regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[.,;:!?\x0A-\x0D]') as ps
+    from documents where text is not null
+), pieces as (
+    select d, lang, generate_subscripts(ps, 1) as p, unnest(ps) as piece from lowered
+), split as (
+    select d, lang, p, list_filter(regexp_split_to_array(piece, '[ \t]+'), lambda w: w <> '') as ws from pieces
+), words as (
+    select d, lang, p, generate_subscripts(ws, 1) as i, unnest(ws) as w from split
+), runs as (
+    select lang, w, lead(w) over s as w2, lead(w, 2) over s as w3 from words window s as (partition by d, p order by i)
+), one as (
+    select lang, w, count(*) as f from words group by all
+), two as (
+    select lang, w, w2, count(*) as f from runs where w2 is not null group by all having count(*) >= 10
+), three as (
+    select lang, w, w2, w3, count(*) as f from runs where w3 is not null group by all having count(*) >= 10
+), longer as (
+    select lang, w, w2, max(f) as f from (
+        select lang, w, w2, f from three union all select lang, w2, w3, f from three) group by all
+), pairs as (
+    select t.lang, t.w || ' ' || t.w2 as phrase, t.f as a, x.f as l, y.f as r,
+        1000000 * t.f::hugeint * t.f // (x.f::hugeint * y.f) as score
+    from two t join one x on x.lang = t.lang and x.w = t.w join one y on y.lang = t.lang and y.w = t.w2
+    left join longer g on g.lang = t.lang and g.w = t.w and g.w2 = t.w2
+    where g.f is null or 100 * g.f < 50 * t.f
+), cuts as (
+    select t.lang, t.w || ' ' || t.w2 || ' ' || t.w3 as phrase, t.f as a, x.f as l1, yz.f as r1, xy.f as l2, z.f as r2,
+        1000000 * t.f::hugeint * t.f // (x.f::hugeint * yz.f) as s1,
+        1000000 * t.f::hugeint * t.f // (xy.f::hugeint * z.f) as s2
+    from three t join one x on x.lang = t.lang and x.w = t.w join one z on z.lang = t.lang and z.w = t.w3
+    join two xy on xy.lang = t.lang and xy.w = t.w and xy.w2 = t.w2
+    join two yz on yz.lang = t.lang and yz.w = t.w2 and yz.w2 = t.w3
+), scored as (
+    select * from pairs union all
+    select lang, phrase, a, if(s1 <= s2, l1, l2), if(s1 <= s2, r1, r2), least(s1, s2) from cuts
+), totals as (
+    select lang, sum(f) as n from one group by lang
+)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r,
+    n::bigint as n, score::bigint as score
+from scored join totals using (lang) qualify rank <= 2000
+"""
+
+# Bytes as two hex digits each.
+ORACLES["op13_suffix_repeats"] = """
+with numbered as (
+    select row_number() over () as d, doc_id, hex(encode(coalesce(text, ''))) as h from documents
+), starts as (
+    select d, i, md5(substr(h, 2 * i + 1, 400)) as s
+    from (select d, h, unnest(range(greatest(length(h) // 2 - 199, 0))) as i from numbered)
+), met as (
+    select d, i from starts qualify count(*) over (partition by s) > 1
+), runs as (
+    select d, i, i > coalesce(max(i) over (partition by d order by i rows between unbounded preceding and 1 preceding), -400)
+        + 200 as new from met
+), spans as (
+    select d, nth, min(i) as a, max(i) + 200 as b
+    from (select *, sum(new::int) over (partition by d order by i) as nth from runs) group by d, nth
+), sums as (
+    select d, sum(b - a) as removed, count(*) as n, list([a, b] order by a) as cut from spans group by d
+)
+select doc_id, (length(h) // 2)::bigint as n_bytes, coalesce(removed, 0)::bigint as n_removed, coalesce(n, 0) as n_spans,
+    sha256(unhex(case when cut is null then h else array_to_string(list_transform(range(len(cut) + 1), lambda k: substr(h,
+        2 * (if(k = 0, 0, cut[k][2])) + 1, 2 * (if(k = len(cut), length(h) // 2, cut[k + 1][1]) - if(k = 0, 0, cut[k][2])))),
+        '') end)) as kept_sha256
+from numbered left join sums using (d)
+"""

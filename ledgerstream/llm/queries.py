@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerstream.llm import decontam, htmltext, langid, licences, lm, manifest, mixing, sharding, simhash, urls, vectors
+from ledgerstream.llm import collocations, decontam, htmltext, langid, licences, lm, manifest, mixing, sharding, simhash, suffixes, urls, vectors
 from ledgerstream.llm.common import remainder
 
 SHARDS = 40
@@ -66,12 +66,21 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.select("doc_id", "held_out", found.alias("found")).select("doc_id", "held_out", "found.*")
 
 
+def op11_collocation_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(_table(spark, sf_dir, "documents"))
+
+
 def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.manifest(_table(spark, sf_dir, "documents"), manifest.tampered())
 
 
+def op13_suffix_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.without_repeats(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_poisson_mixing, op2_byte_shards, op3_tag_path_text, op4_licence_scan, op5_learned_partitions,
         op6_cgk_decontamination, op7_url_verdicts, op8_gru_scores, op9_simhash_index,
-        op10_hyperdimensional_langid, op12_merkle_manifest)}
+        op10_hyperdimensional_langid, op11_collocation_tiles, op12_merkle_manifest,
+        op13_suffix_repeats)}

@@ -1,0 +1,79 @@
+import random
+import re
+from collections import Counter, defaultdict
+
+import pytest
+
+from ledgerstream.llm import collocations
+
+from .conftest import AWKWARD
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def brute(rows, least=10, kept=2000):
+    counts, total = defaultdict(Counter), Counter()
+    for _, text, lang, *_ in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split("[.,;:!?\x0a-\x0d]", (text or "").translate(LOWER)):
+            words = [w for w in re.split("[ \t]+", piece) if w]
+            total[lang] += len(words)
+            for n in (1, 2, 3):
+                counts[lang].update(tuple(words[i:i + n]) for i in range(len(words) - n + 1))
+    out = []
+    for lang, f in counts.items():
+        candidates = {p: a for p, a in f.items() if len(p) > 1 and a >= least}
+        scored = []
+        for p, a in candidates.items():
+            if any(len(q) > len(p) and 100 * candidates[q] >= 50 * a and p in (q[:2], q[1:]) for q in candidates):
+                continue
+            cuts = [(1000000 * a * a // (f[p[:k]] * f[p[k:]]), k) for k in range(1, len(p))]
+            score, k = min(cuts)
+            scored.append((-score, -a, " ".join(p).encode(), f[p[:k]], f[p[k:]]))
+        for rank, (score, a, phrase, l, r) in enumerate(sorted(scored)[:kept], 1):
+            out.append((lang, rank, phrase.decode(), -a, l, r, total[lang], -score))
+    return sorted(out)
+
+
+def found(docs, **how):
+    return sorted(map(tuple, collocations.mine(docs, **how).collect()))
+
+
+def rows(n=300, seed=1):
+    rng = random.Random(seed)
+    vocabulary = [f"w{i}" if i % 3 else f"É{i}" for i in range(120)]
+    fixed = ["New York City", "new york", "à la carte", "of the"]
+    out = []
+    for i in range(n):
+        words = [rng.choice(fixed) if rng.random() < 0.2 else vocabulary[int(rng.paretovariate(0.7)) % 120] for _ in range(40)]
+        text = "".join(w + rng.choice([" "] * 8 + [", ", ".\n", "\t", " ; ", "  "]) for w in words)
+        out.append((i, text, rng.choice(["en", "de", None, "und"]), "s", 0))
+    return out
+
+
+def test_like_brute_force(documents):
+    given = rows()
+    expected = brute(given)
+    assert found(documents(given)) == expected and len(expected) > 50
+    assert found(documents(given), kept=7) == brute(given, kept=7)
+
+
+@pytest.mark.parametrize("name, value", [("WORDS", 8), ("PAIRS", 5), ("LOAD", 2), ("BLOCK", 64), ("FILTER_BITS", 15),
+                                         ("COORDINATES", 40), ("TILES", 0)])
+def test_bounds_change_nothing(documents, monkeypatch, name, value):
+    """Fewer numbered words and pairs, other tiles, smaller blocks and filters."""
+    given = rows(120, 2)
+    monkeypatch.setattr(collocations, name, value)
+    if name in ("LOAD", "TILES"):
+        monkeypatch.setattr(collocations, "SIDE_BITS", 3)
+    assert found(documents(given)) == brute(given)
+
+
+def test_awkward(awkward, clashing):
+    expected = brute(AWKWARD)
+    assert found(awkward) == expected and found(clashing) == expected and expected
+
+
+def test_empty(documents):
+    assert found(documents([])) == []
+    assert found(documents([(1, None), (2, ""), (3, "a b c")])) == []
