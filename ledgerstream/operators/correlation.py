@@ -107,6 +107,38 @@ def activity_before(reports: DataFrame, transactions: DataFrame, lookback_ms: in
         F.coalesce("amount", F.lit(0.0)).alias("total_amount"))
 
 
+def activity_before_stream(reports: DataFrame, transactions: DataFrame, lookback_ms: int = DAY_MS,
+                           slice_ms: int = 60 * MINUTE_MS, delay_ms: int = 10_000) -> DataFrame:
+    """Count and total of the account's transactions in the whole slices of the ``lookback_ms`` up to each report
+    (append mode): those from the start of the slice ``lookback_ms`` before the report's own, up to its start.
+
+    Transactions are totalled per account and slice first, so a report meets at most ``lookback_ms / slice_ms`` rows,
+    however busy the account. Slices meet reports by an interval join and are added up per report: three stateful
+    steps in one query, each with the watermark that the one before it leaves. A slice goes from the state when no
+    report can reach it any more, a report when its slices are all closed; a report without any appears with zeros.
+    Copies of a report count once.
+    """
+    if lookback_ms % slice_ms:
+        raise ValueError("the look-back must be a whole number of slices")
+    at = F.timestamp_millis(_floor(F.col("timestamp"), slice_ms) * slice_ms)
+    # A report's own slice starts up to a slice before it, so reports look that much later.
+    r = eventtime.bounded(reports.select("report_id", "account_id", F.col("timestamp").alias("reported_at"), at.alias("at")),
+                          f"{delay_ms + slice_ms} milliseconds", "at")
+    r = r.dropDuplicatesWithinWatermark(["report_id"])
+    t = eventtime.bounded(transactions.select("account_id", "amount_transferred", eventtime.from_millis().alias("ts")),
+                          f"{delay_ms} milliseconds")
+    slices = (t.groupBy(F.col("account_id").alias("account"), F.window("ts", f"{slice_ms} milliseconds"))
+              .agg(F.count("*").alias("n"), F.sum("amount_transferred").alias("amount"))
+              .select("account", "n", "amount", F.window_time("window").alias("slice_end")))
+    near = ((F.col("slice_end") >= F.col("at") - F.expr(f"interval {lookback_ms} milliseconds"))
+            & (F.col("slice_end") < F.col("at")))
+    return (r.join(slices, (F.col("account_id") == F.col("account")) & near, "left_outer")
+            .groupBy("at", "report_id", "account_id", "reported_at")
+            .agg(F.sum("n").alias("n"), F.sum("amount").alias("amount"))
+            .select("report_id", "account_id", "reported_at", F.coalesce("n", F.lit(0)).alias("transaction_count"),
+                    F.coalesce("amount", F.lit(0.0)).alias("total_amount")))
+
+
 def _floor(number: Column, width: int) -> Column:
     return ((number - F.pmod(number, F.lit(width))) / width).cast("long")
 

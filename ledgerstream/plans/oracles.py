@@ -66,6 +66,7 @@ with o as (select cast(o_custkey as varchar) account_id, o_totalprice amount_tra
                   epoch_us(o_orderdate) // 1000 as ms from orders)
 """
 _DAY, _HOUR = 86_400_000, 3_600_000
+_PARTS_FROM = 1_704_067_200_000
 
 
 def _sessions(where: str) -> str:
@@ -139,4 +140,31 @@ ORACLES: dict[str, str] = {
                round(coalesce(sum(amount_transferred), 0), 2) total_amount
         from fr left join tx on tx.account_id = fr.account_id and tx.ms between fr.ms - {_DAY} and fr.ms
         group by 1, 2, 3""",
+    "account_balances_state": _BALANCES,
+    "replayed_letters": _WITH + """
+        select topic, case topic when 'fraud-reports' then 'r' else '' end || event_id id,
+               cast(user_id as varchar) account_id
+        from dest where decode_error = 'unknown_schema' and reject_reason is null""",
+    "late_transactions": _WITH + f""",
+        parted as (select *, (ms - {_PARTS_FROM}) // {5 * _DAY} + event_id % 3 part from tx),
+        cut as (select part, max(max(ms)) over (order by part rows between unbounded preceding and 1 preceding)
+                       - {2 * _DAY} cut_off from parted group by part)
+        select id, account_id, dense_rank() over (order by part) - 1 batch_id,
+               coalesce((ms // {_DAY} + 1) * {_DAY} <= cut_off, false) late
+        from parted join cut using (part)""",
+    "activity_before_report_stream": _WITH + f""",
+        asked as (select *, ms // {_HOUR} * {_HOUR} own_slice from fr),
+        cut as (select least((select max(ms) from tx), (select max(own_slice) - {_HOUR} from asked)) - 10000 w)
+        select report_id, a.account_id, a.ms reported_at, count(tx.id) transaction_count,
+               round(coalesce(sum(amount_transferred), 0), 2) total_amount
+        from asked a left join tx on tx.account_id = a.account_id and tx.ms >= own_slice - {_DAY} and tx.ms < own_slice
+        where own_slice < (select w from cut) - {_DAY}
+        group by 1, 2, 3""",
+    "fraud_chains": _WITH.replace("with tx", "with recursive tx", 1) + """,
+        ties as (select distinct account_id, fraud_chain_id chain from fr),
+        beside as (select distinct x.chain a, y.chain b from ties x join ties y using (account_id)),
+        reached as (select a, b from beside union select r.a, n.b from reached r join beside n on n.a = r.b),
+        tops as (select a chain, min(account_id) group_id from reached join ties on ties.chain = b group by a),
+        grouped as (select account_id, min(group_id) group_id from ties join tops using (chain) group by account_id)
+        select account_id, group_id, count(*) over (partition by group_id) accounts from grouped""",
 }

@@ -10,16 +10,19 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerstream.functions import eventtime, frames
 from ledgerstream.functions.rules import AlertRules
-from ledgerstream.operators import alerts, balances, correlation, envelope, router, routing, sessions
+from ledgerstream.operators import alerts, balances, chains, correlation, envelope, router, routing, sessions
 from ledgerstream.operators.envelope import Writer
 from ledgerstream.plans import sqljobs
 from ledgerstream.session import configure, run_dir
 from ledgerstream.sources import bank_events, files
-from ledgerstream.streaming import jobs, sinks
+from ledgerstream.streaming import jobs, late, replay, sinks, state
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
+# Where the parts of a stream that comes out of order begin, and the days of each.
+PARTS_FROM_MS, PART_MS = 1_704_067_200_000, 5 * 86_400_000
+
 # Rules under which the events table shows all three levels.
 SCALED_WINDOW, SCALED_RULES = "1 day", AlertRules(max_count=4, max_amount=300.0)
 MINUTE_RULES = AlertRules(max_count=1, max_amount=150.0)
@@ -146,6 +149,26 @@ def router_transactions(spark, sf_dir):
     return envelope.records(envelope.decode(sent, WRITERS, "Transaction", "json", metrics="consume"))
 
 
+@_register
+def replayed_letters(spark, sf_dir):
+    """Dead letters sent once their schema is known; the run before it and the one after it send nothing."""
+    out = run_dir(spark, "replayed_letters")
+    routed = router.route_messages(_messages(spark, sf_dir), WRITERS, OUTPUTS, codec="json")
+    routed.filter(F.col("topic") == OUTPUTS.dead_letter_topic).write.parquet(f"{out}/letters")
+    letters = spark.read.schema(routed.schema).parquet(f"{out}/letters")
+    known = WRITERS | {bank_events.UNKNOWN_ID: Writer("BankEvent")}
+    for writers in (WRITERS, known, known):
+        replay.replay(spark, out, letters, writers, OUTPUTS, f"{out}/topics", "json")
+    sent = replay.replayed_messages(spark, f"{out}/topics")
+
+    def ids(topic: str, record: str, key: str) -> DataFrame:
+        read = envelope.decode(sent.filter(F.col("topic") == topic), WRITERS, record, "json")
+        return envelope.records(read).select(F.lit(topic).alias("topic"), F.col(key).alias("id"), "account_id")
+
+    return ids(OUTPUTS.transaction_topic, "Transaction", "id").unionByName(
+        ids(OUTPUTS.fraud_report_topic, "FraudReport", "report_id"))
+
+
 # Balances
 
 @_register
@@ -225,6 +248,15 @@ def account_balance_messages(spark, sf_dir):
                        F.round(field("value", "total_balance").cast("double"), 2).alias("total_balance"))
 
 
+@_register
+def account_balances_state(spark, sf_dir):
+    """The balances as the streaming query holds them, read from its checkpoint and not from its sink."""
+    out = run_dir(spark, "account_balances_state")
+    changes = balances.account_balances(_streamed(spark, sf_dir))
+    _finish(sinks.upsert_files(changes, f"{out}/table", ["account_id"]), spark, "account_balances_state", out)
+    return _cents(state.balances(spark, f"{out}/checkpoint"), "total_balance")
+
+
 @_register
 def account_history(spark, sf_dir):
     return _cents(_cents(balances.account_history(_transactions(spark, sf_dir)), "total_amount"),
@@ -267,6 +299,28 @@ def fraud_alerts_stream(spark, sf_dir):
     return _cents(_read_back(spark, found, f"{out}/alerts"), "total_amount")
 
 
+def _in_overlapping_parts(spark: SparkSession, sf_dir: str, folder: str) -> None:
+    """The events as files of a stream, each reaching back over two thirds of the one before it."""
+    events = bank_events.events(spark, sf_dir)
+    since = F.unix_millis(F.col("ts").cast("timestamp")) - F.lit(PARTS_FROM_MS)
+    parted = events.withColumn("part", F.floor(since / PART_MS) + F.col("event_id") % 3)
+    for (part,) in parted.select("part").distinct().orderBy("part").collect():  # one row for five days of events
+        parted.filter(F.col("part") == part).drop("part").coalesce(1).write.mode("append").parquet(folder)
+
+
+@_register
+def late_transactions(spark, sf_dir):
+    """Every transaction once, with the micro-batch that met it and whether its window was closed by then."""
+    out = run_dir(spark, "late_transactions")
+    _in_overlapping_parts(spark, sf_dir, f"{out}/events")
+    stream = bank_events.transactions(files.read_stream(spark, f"{out}/events", bank_events.EVENTS, files_per_batch=1))
+    writer = late.split(stream, f"{out}/parts", f"{out}/checkpoint", "1 day", "2 days")
+    _finish(writer, spark, "late_transactions", out)
+    in_time, too_late = (read(spark, f"{out}/parts", stream.schema) for read in (late.accepted, late.late))
+    return (in_time.withColumn("late", F.lit(False)).unionByName(too_late.withColumn("late", F.lit(True)))
+            .select("id", "account_id", "batch_id", "late"))
+
+
 # Bursts and correlation
 
 @_register
@@ -306,3 +360,17 @@ def reported_transactions_stream(spark, sf_dir):
 def activity_before_report(spark, sf_dir):
     return _cents(correlation.activity_before(_reports(spark, sf_dir), _transactions(spark, sf_dir)),
                   "total_amount")
+
+
+@_register
+def activity_before_report_stream(spark, sf_dir):
+    out = run_dir(spark, "activity_before_report_stream")
+    reports = bank_events.fraud_reports(bank_events.events_stream(spark, sf_dir))
+    found = correlation.activity_before_stream(reports, _streamed(spark, sf_dir))
+    _finish(sinks.append_files(found, f"{out}/found"), spark, "activity_before_report_stream", out)
+    return _cents(_read_back(spark, found, f"{out}/found"), "total_amount")
+
+
+@_register
+def fraud_chains(spark, sf_dir):
+    return chains.fraud_chains(_reports(spark, sf_dir))

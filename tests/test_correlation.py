@@ -3,7 +3,7 @@ import random
 
 import pytest
 
-from helpers import finish, rows, stream, write_file
+from helpers import MINUTE, finish, rows, stream, write_file
 from ledgerstream import schemas
 from ledgerstream.operators import correlation
 from ledgerstream.streaming import sinks
@@ -113,3 +113,41 @@ def test_streamed_in_many_batches_as_in_one(spark, transactions, reports, tmp_pa
         if hit or at < end:
             expected.append((r, m.account_id if hit else None, m.lag_ms if hit else None))
     assert rows(spark.read.parquet(f"{tmp_path}/out"), "report_id", "account_id", "lag_ms") == sorted(expected, key=repr)
+
+
+SLICE, DELAY_MS, START = 10 * MINUTE, 10_000, 1_700_000_400_000
+
+
+def look_back_stream(spark, path, name="looks"):
+    found = correlation.activity_before_stream(stream(spark, f"{path}/fr", schemas.FRAUD_REPORT), stream(spark, f"{path}/tx"),
+                                               6 * SLICE, SLICE, DELAY_MS)
+    return finish(sinks.append_files(found, f"{path}/out"), spark, name, path), found.schema
+
+
+def test_streamed_look_back_equals_the_batch_on_whole_slices(spark, transactions, reports, tmp_path):
+    """Several files a side, a restart between, late and repeated reports, accounts without transactions."""
+    rng, path = random.Random(8), str(tmp_path)
+    tx = [(f"k{rng.randrange(3)}", rng.randrange(1, 9), START + m * MINUTE + rng.randrange(MINUTE)) for m in range(600)]
+    fr = [(f"r{i}", "-", f"k{rng.randrange(4)}", START + rng.randrange(600) * MINUTE) for i in range(60)]
+    fr.sort(key=lambda r: r[3])
+    end = [("end", "-", "k0", START + 2000 * MINUTE)], [("k0", 1, START + 2000 * MINUTE)]
+    for i in range(0, 600, 150):
+        write_file(transactions(tx[i:i + 150]), f"{path}/tx")
+        write_file(reports([r for r in fr if i <= (r[3] - START) // MINUTE < i + 150]), f"{path}/fr")
+        if i == 150:
+            look_back_stream(spark, path)
+    write_file(reports(end[0]), f"{path}/fr")
+    write_file(transactions(end[1]), f"{path}/tx")
+    query, schema = look_back_stream(spark, path)
+    found = rows(spark.read.schema(schema).parquet(f"{path}/out"))
+    aligned = [(r, t, a, ms // SLICE * SLICE - 1) for r, t, a, ms in fr]
+    whole = correlation.activity_before(reports(aligned), transactions(tx), 6 * SLICE - 1, MINUTE)
+    expected = {r.report_id: (r.account_id, r.transaction_count, r.total_amount) for r in whole.collect()}
+    assert {r[0]: (r[1], r[3], r[4]) for r in found} == expected and len(found) == len(fr)
+    held = {o["operatorName"]: o["numRowsTotal"] for o in query.recentProgress[-1]["stateOperators"]}
+    assert held["symmetricHashJoin"] <= 3  # slices and reports that nothing can reach are gone
+
+
+def test_look_back_of_no_whole_number_of_slices(reports, transactions):
+    with pytest.raises(ValueError, match="whole number"):
+        correlation.activity_before_stream(reports([]), transactions([]), 100, 30)

@@ -11,7 +11,7 @@ from ledgerstream.plans import oracles, queries
 ORACLES = oracles.ORACLES
 QUERIES = queries.QUERIES
 DUCK_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
-              "timestamp_ntz": "TIMESTAMP"}
+              "timestamp_ntz": "TIMESTAMP", "boolean": "BOOLEAN"}
 
 
 @pytest.fixture(scope="module")
