@@ -1,9 +1,9 @@
 """Removal of long strings that occur more than once, by distributed prefix doubling over positions of texts.
 
-Sorting every byte position would move each text's size many times over. Two steps before leave few positions: a window
-of ``length`` bytes can only repeat if the string it picks from its own bytes (the least by hash of those of half its
-length) is met again, and a run of windows that picked the same place and is met again as a whole repeats without more ado.
-Both follow from the bytes alone, so no repeat is lost; what is left is ranked by doubling.
+Sorting every byte position would move each text's size many times over, so only places that windows pick are sorted:
+every window of ``length`` bytes picks the string of half its length that has the least hash, which depends on its bytes
+alone, so equal windows pick the same string at the same place and no repeat is lost. Windows that pick the same place
+form a run; there is one for some 50 bytes.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from pyspark.sql import functions as F
 from ledgerstream.llm.common import discard, stored
 
 LENGTH = 200
-FIRST = 50  # bytes that the first ranks stand for
+FIRST = 8  # bytes of the first step away from a picked string
 WINDOWS = 1 << 20  # windows looked at together
-PIECE = 1 << 16  # most windows of a span
 BASE, INVERSE = np.uint64(0x9E3779B97F4A7C15), np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
 
 
@@ -37,8 +36,11 @@ def _hashes(data: np.ndarray, n: int, powers: Powers) -> np.ndarray:
         return np.zeros(0, np.uint64)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * powers.up[:len(data)], out=sums[1:])
-    h = (sums[n:] - sums[:-n]) * powers.down[:len(data) - n + 1]
-    h ^= h >> np.uint64(32)
+    return _mixed((sums[n:] - sums[:-n]) * powers.down[:len(data) - n + 1])
+
+
+def _mixed(h: np.ndarray) -> np.ndarray:
+    h = h ^ (h >> np.uint64(32))
     h *= np.uint64(0xD6E8FEB86659FD93)
     h ^= h >> np.uint64(32)
     return h
@@ -90,50 +92,90 @@ def _runs(length: int):
                 start = windows[firsts]
                 stop = windows[np.append(firsts[1:], len(windows)) - 1] + 1
                 picked = h[place[start]].view(np.int64)
-                start, stop = start + at, stop + at
+                start, stop, spot = start + at, stop + at, place[start].astype(np.int64) + at
                 digest = b"".join(hashlib.blake2b(held[a:b], digest_size=8).digest()
                                   for a, b in zip(start.tolist(), (stop + length - 1).tolist(), strict=True))
                 owner = np.searchsorted(offsets, start, "right") - 1
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("key").take(pa.array(owner)), pa.array(picked), pa.array(np.frombuffer(digest, np.int64)),
-                     pa.array(start - offsets[owner]), pa.array(stop - offsets[owner])],
-                    names=["key", "picked", "digest", "start", "stop"])
+                     pa.array(start - offsets[owner]), pa.array(stop - offsets[owner]), pa.array(spot - offsets[owner])],
+                    names=["key", "picked", "digest", "start", "stop", "place"])
 
     return find
 
 
-def _first_pairs(length: int, first: int):
-    """Positions of each text's spans with the ranks of the ``first`` bytes there and right behind."""
+def _places(length: int):
+    """Each run with its bytes, and the hashes of the pieces that lie before and behind the string it picked.
+
+    ``low`` and ``high`` bound its windows by the bytes they hold before that string.
+    """
+    half = length // 2
+    steps = _steps(length - half)
 
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers = Powers(PIECE + length)
+        powers = Powers(2 * length)
         for batch in batches:
             data, offsets = _buffers(batch.column("text"))
-            spans = batch.column("spans")
-            counts = np.diff(spans.offsets.to_numpy())
-            flat = spans.flatten()
-            ids, starts, stops = (flat.field(c).to_numpy() for c in ("id", "start", "stop"))
-            begin = np.repeat(offsets[:-1], counts)
-            for i in range(len(ids)):
-                some = data[begin[i] + starts[i]:begin[i] + stops[i] + length - 1]
-                h = _hashes(some, first, powers).view(np.int64)
-                n = len(h) - first
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, ids[i])), pa.array(np.arange(starts[i], starts[i] + n)),
-                     pa.array(h[:n]), pa.array(h[first:])], names=["span", "i", "r1", "r2"])
+            runs = batch.column("runs")
+            counts = np.diff(runs.offsets.to_numpy())
+            flat = runs.flatten()
+            ids, picked, whole, start, stop, place = (flat.field(c).to_numpy(zero_copy_only=False)
+                                                      for c in ("id", "picked", "whole", "start", "stop", "place"))
+            begin, end = np.repeat(offsets[:-1], counts), np.repeat(offsets[1:], counts)
+            if not len(ids):
+                continue
+            # Pieces of ``steps`` bytes away from the picked string, the nearest first; null where the text ends.
+            names = {side: ([], []) for side in ("before", "behind")}
+            at = begin + place
+            for near, far in zip(steps[:-1], steps[1:], strict=True):
+                for side, first, there in (("before", at - far, at - far >= begin),
+                                           ("behind", at + half + near, at + half + far <= end)):
+                    found = np.zeros(len(ids), np.int64)
+                    rows = np.flatnonzero(there)
+                    some = data[first[rows][:, None] + np.arange(far - near)].astype(np.uint64) + np.uint64(1)
+                    found[rows] = _mixed((some * powers.up[:far - near]).sum(1, dtype=np.uint64)).view(np.int64)
+                    names[side][0].append(found)
+                    names[side][1].append(~there)
+            low, high = place - (stop - 1), place - start
+            left = begin + start
+            content = [data[i:j].tobytes() for i, j in zip(left.tolist(), (begin + stop + length - 1).tolist(), strict=True)]
+            edges = pa.array(np.arange(len(ids) + 1) * (len(steps) - 1), pa.int32())
+            lists = [pa.ListArray.from_arrays(edges, pa.array(np.stack(found, 1).ravel(), mask=np.stack(absent, 1).ravel()))
+                     for found, absent in names.values()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids), pa.array(picked), pa.array(whole), pa.array(low), pa.array(high), *lists, pa.array(content)],
+                names=["id", "picked", "whole", "low", "high", "before", "behind", "content"])
+
+    return emit
 
-    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, rows = [], 0
-        for batch in emit(batches):  # a span has some hundred rows
-            held.append(batch)
-            rows += batch.num_rows
-            if rows > PIECE:
-                yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
-                held, rows = [], 0
-        if rows:
-            yield pa.Table.from_batches(held).combine_chunks().to_batches()[0]
 
-    return joined
+def _steps(reach: int) -> list[int]:
+    """0, ``FIRST``, twice that and so on, up to ``reach``."""
+    steps = [0, min(FIRST, reach)]
+    while steps[-1] < reach:
+        steps.append(min(2 * steps[-1], reach))
+    return steps
+
+
+def _window_pairs(length: int):
+    """The windows of runs that can be met again, by the bytes they hold before the picked string, with two ranks each."""
+    part = length - length // 2
+
+    def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers = Powers(2 * length)
+        for batch in batches:
+            held = []
+            for key, high, some, least, most in zip(*(batch.column(c).to_pylist() for c in (
+                    "id", "high", "content", "from", "upto")), strict=True):
+                h = _hashes(np.frombuffer(some, np.uint8), part, powers).view(np.int64)
+                before = np.arange(least, most + 1)
+                i = high - before  # windows from the run's start
+                held.append((np.full(len(i), key), before, h[i], h[i + length - part]))
+            if held:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*held, strict=True)],
+                                                 names=["span", "i", "r1", "r2"])
+
+    return emit
 
 
 def _ranked(pairs: DataFrame) -> DataFrame:
@@ -147,13 +189,6 @@ def _ranked(pairs: DataFrame) -> DataFrame:
     return pairs.join(ranks, ["r1", "r2"]).select("span", "i", "r")
 
 
-def _doubled(ranked: DataFrame, step: int) -> DataFrame:
-    """Rank pairs of positions ``step`` apart; a position whose second half is unique is unique and goes."""
-    ahead = Window.partitionBy("span").orderBy("i").rangeBetween(step, step)
-    return (ranked.withColumn("r2", F.first("r").over(ahead)).filter("r2 is not null")
-            .select("span", "i", F.col("r").alias("r1"), "r2"))
-
-
 def _joined_up(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Runs of positions, from rows sorted by span and position."""
     for batch in rows:
@@ -167,16 +202,18 @@ def _joined_up(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                              names=["id", "start", "stop"])
 
 
-def repeats(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataFrame:
+def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     """``key``, ``start``, ``stop``: runs of positions in the distinct texts (``key``, ``text``) whose ``length`` bytes
     also start anywhere else, in the same text or another (or in a further row of the same text). Runs can touch.
 
-    Rows with one key have one text. Runs of windows are dealt out by 64-bit hashes of a picked string and told apart by
-    digests; only runs whose picked string is met in different runs go on. One run of equals is enough to be ranked. Its
-    positions start with 64-bit hashes of ``first`` bytes as ranks. Ranks of positions at growing offsets make pairs,
-    Spark sorts them and gives new ranks to those met more than once, until the pairs stand for ``length`` bytes.
+    Rows with one key have one text. Runs of windows are dealt out by 64-bit hashes of the string they picked and told
+    apart by digests; a run met again as a whole is done, and only runs whose picked string is met in different runs go on,
+    one of equals. From that string they are ranked to the left and to the right by prefix doubling: a rank and the hash
+    of the next piece, as long as all before it, make a pair; Spark sorts the pairs and gives new ranks to those met more
+    than once, until a side is unique or past what a window can reach. The windows that both sides allow make a last
+    pair, of their two halves, and those met more than once repeat.
     """
-    runs = stored(texts.mapInArrow(_runs(length), "key binary, picked long, digest long, start long, stop long"), "suffix-runs")
+    runs = stored(texts.mapInArrow(_runs(length), "key binary, picked long, digest long, start long, stop long, place long"), "suffix-runs")
     classes = (runs.groupBy("picked").agg(F.count("*").alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"))
                .filter("n > 1").select("picked", (F.col("a") != F.col("b")).alias("mixed")))
     met = stored(runs.join(classes, "picked").withColumn("id", F.monotonically_increasing_id()), "suffix-classes")
@@ -186,31 +223,63 @@ def repeats(texts: DataFrame, length: int = LENGTH, first: int = FIRST) -> DataF
     discard(met)
     whole = known.filter("n > 1").select("key", "start", "stop")
 
-    # Spans: runs of one text that lie so near that their bytes overlap.
-    order = Window.partitionBy("key").orderBy("start")
-    ones = known.filter("mixed and id = one").select("key", "start", "stop")
-    spans = (ones.withColumn("apart", F.coalesce(F.col("start") - F.lag("stop").over(order) > length - first, F.lit(True)))
-             .withColumn("nth", F.sum(F.col("apart").cast("int")).over(order))
-             .groupBy("key", "nth").agg(F.min("start").alias("start"), F.max("stop").alias("stop")))
-    spans = (spans.select("key", F.explode(F.sequence("start", F.col("stop") - 1, F.lit(PIECE).cast("long"))).alias("start"), "stop")
-             .select("key", "start", F.least("stop", F.col("start") + PIECE).alias("stop")))
-    spans = stored(spans.withColumn("id", F.monotonically_increasing_id()), "suffix-spans")
-    held = texts.groupBy("key").agg(F.first("text").alias("text")).join(
-        spans.groupBy("key").agg(F.collect_list(F.struct("id", "start", "stop")).alias("spans")), "key")
-    pairs = stored(held.select("text", "spans").mapInArrow(
-        _first_pairs(length, first), "span long, i long, r1 long, r2 long"), "suffix-pairs")
-    done = 2 * first
-    while done < length:
-        step = min(done, length - done)
-        further = stored(_doubled(_ranked(pairs), step), "suffix-pairs")
-        discard(pairs)
-        pairs, done = further, done + step
-    last = (_ranked(pairs).select("span", "i").repartition("span").sortWithinPartitions("span", "i")
-            .mapInArrow(_joined_up, "id long, start long, stop long"))
-    found = last.join(spans.select("id", "key"), "id").select("key", "start", "stop")
+    # One run of equals is enough to go on.
+    ones = known.filter("mixed and id = one").select(
+        "key", F.struct("id", "picked", (F.col("n") > 1).alias("whole"), "start", "stop", "place").alias("run"))
+    held = (texts.groupBy("key").agg(F.first("text").alias("text"))
+            .join(ones.groupBy("key").agg(F.collect_list("run").alias("runs")), "key"))
+    places = stored(held.select("text", "runs").mapInArrow(
+        _places(length), "id long, picked long, whole boolean, low long, high long, before array<long>, "
+                         "behind array<long>, content binary"), "suffix-places")
+    near = stored(_met_windows(places, length), "suffix-near")
+    pairs = stored(near.mapInArrow(_window_pairs(length), "span long, i long, r1 long, r2 long"), "suffix-pairs")
+    discard(near)
+    singles = places.filter("not whole").select(F.col("id").alias("span"), "high")
+    last = (_ranked(pairs).select("span", "i").join(singles, "span").select("span", (F.col("high") - F.col("i")).alias("i"))
+            .repartition("span").sortWithinPartitions("span", "i").mapInArrow(_joined_up, "id long, start long, stop long"))
+    found = last.join(known.select("id", "key", F.col("start").alias("begin")), "id").select(
+        "key", (F.col("begin") + F.col("start")).alias("start"), (F.col("begin") + F.col("stop")).alias("stop"))
     return whole.unionByName(found)
 
 
+def _met_windows(places: DataFrame, length: int) -> DataFrame:
+    """Runs with the windows (``from``, ``upto``: bytes before the picked string) whose bytes to both sides of it, as far
+    as doubled steps tell, are met in another run of the same picked string."""
+    reach = length - length // 2
+    steps = _steps(reach)
+    sides = places.select("id", "picked", F.explode(F.array(
+        F.struct(F.lit("before").alias("side"), F.col("before").alias("names")),
+        F.struct(F.lit("behind").alias("side"), F.col("behind").alias("names")))).alias("s"))
+    sides = stored(sides.select(F.col("id").alias("span"), F.col("picked").alias("r1"),
+                                (F.col("s.side") == "before").cast("long").alias("i"), "s.names"), "suffix-sides")
+    alive, levels = sides, []
+    for n in range(len(steps) - 1):
+        # The side tells apart ranks of strings that grow to the left and to the right.
+        pairs = alive.select("span", "i", "names", F.xxhash64("i", "r1").alias("r1") if n == 0 else "r1",
+                             F.element_at("names", n + 1).alias("r2")).filter("r2 is not null")
+        ranked = stored(_ranked(pairs).withColumnRenamed("r", "r1"), "suffix-ranks")
+        levels.append(ranked.select("span", "i", F.lit(n + 1).alias("level")))
+        alive = ranked.join(sides.drop("r1"), ["span", "i"])
+    reached = levels[0]
+    for level in levels[1:]:
+        reached = reached.unionByName(level)
+    # A side met up to one step and not to the next is met up to a byte before the next at most.
+    bound = F.element_at(F.array(*[F.lit(x) for x in [*[step - 1 for step in steps[1:]], reach]]), F.col("level") + 1)
+    bounds = reached.groupBy("span", "i").agg(F.max("level").alias("level")).select("span", "i", bound.alias("bound"))
+    bounds = (bounds.groupBy("span").agg(F.max(F.when(F.col("i") == 1, F.col("bound"))).alias("before"),
+                                         F.max(F.when(F.col("i") == 0, F.col("bound"))).alias("behind")))
+    none = F.lit(steps[1] - 1)
+    near = (places.drop("before", "behind").join(bounds.withColumnRenamed("span", "id"), "id", "left")
+            .withColumn("from", F.greatest("low", reach - F.coalesce("behind", none)))
+            .withColumn("upto", F.least("high", F.coalesce("before", none))).filter("from <= upto"))
+    # A run known to be met as a whole is there for the others' sake: no further than they reach.
+    wanted = (near.filter("not whole").groupBy("picked")
+              .agg(F.min("from").alias("least"), F.max("upto").alias("most")))
+    return (near.join(wanted, "picked").withColumn("from", F.when(F.col("whole"), F.greatest("from", "least")).otherwise(F.col("from")))
+            .withColumn("upto", F.when(F.col("whole"), F.least("upto", "most")).otherwise(F.col("upto"))).filter("from <= upto")
+            .select("id", "high", "content", "from", "upto"))
+
+
 def _kept(id_type: str, length: int):
     """What is left of each text, from the runs of positions whose ``length`` bytes go."""
 
@@ -244,15 +313,14 @@ def _key(text: Column) -> Column:
     return F.unhex(F.md5(text))
 
 
-def windows(docs: DataFrame, length: int = LENGTH, first: int = FIRST, text_col: str = "text") -> DataFrame:
+def windows(docs: DataFrame, length: int = LENGTH, text_col: str = "text") -> DataFrame:
     """``key`` (MD5 of a text; null texts count as empty) and ``windows``, its repeated runs (start, stop) as ``repeats`` gives them."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    found = repeats(docs.select(_key(text).alias("key"), text.alias("text")), length, first)
+    found = repeats(docs.select(_key(text).alias("key"), text.alias("text")), length)
     return found.distinct().groupBy("key").agg(F.collect_list(F.struct("start", "stop")).alias("windows"))
 
 
-def without_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST, id_col: str = "doc_id",
-                    text_col: str = "text") -> DataFrame:
+def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: id, bytes, bytes removed, maximal removed runs, and the SHA-256 of what is left, in hex.
 
     A byte goes if a string of ``length`` bytes over it also starts anywhere else in the table, in the same text or another;
@@ -263,5 +331,5 @@ def without_repeats(docs: DataFrame, length: int = LENGTH, first: int = FIRST, i
     text = F.coalesce(F.col(text_col), F.lit(""))
     rows = docs.select(F.col(id_col).alias("id"), text.alias("text"), _key(text).alias("key"))
     run, schema = _kept(dict(rows.dtypes)["id"], length)
-    found = windows(docs, length, first, text_col)
+    found = stored(windows(docs, length, text_col), "suffix-windows")
     return rows.join(found, "key", "left").select("id", "text", "windows").mapInArrow(run, schema).withColumnRenamed("id", id_col)

@@ -29,13 +29,13 @@ def found(docs, **how):
 
 
 def test_random_texts(documents, monkeypatch):
-    """Small alphabets make repeats of every kind: overlapping, touching, across the pieces that positions are cut into."""
-    monkeypatch.setattr(suffixes, "PIECE", 7)
+    """Small alphabets make repeats of every kind: overlapping, touching, across the blocks that texts are cut into."""
     monkeypatch.setattr(suffixes, "WINDOWS", 64)
+    monkeypatch.setattr(suffixes, "FIRST", 2)
     rng = random.Random(5)
     rows = [(i, "".join(rng.choices("abé", (5, 3, 1), k=rng.randrange(90)))) for i in range(60)]
-    for length, first in ((12, 3), (13, 2), (8, 4)):
-        assert found(documents(rows), length=length, first=first) == brute(rows, length)
+    for length in (12, 13, 8):
+        assert found(documents(rows), length=length) == brute(rows, length)
 
 
 def test_passages_and_copies(documents):
@@ -55,7 +55,7 @@ def test_passages_and_copies(documents):
 def test_awkward(awkward, clashing):
     expected = brute(AWKWARD, 200)
     assert found(awkward) == expected and found(clashing) == expected
-    assert found(awkward, length=10, first=3) == brute(AWKWARD, 10)
+    assert found(awkward, length=10) == brute(AWKWARD, 10)
 
 
 @pytest.mark.parametrize("rows", [[], [(1, None)], [(1, "short")], [(1, None), (1, None)]])
