@@ -20,12 +20,12 @@ from ledgerstream.llm.common import stored
 UNKNOWN = "und"
 LEAST, LONGEST, KEPT = 10, 3, 2000  # of a phrase: occurrences, words; of a language: phrases
 WITHIN = 50  # per cent of a phrase's occurrences inside a longer one that drop it
-WORDS, PAIRS = 1 << 18, 1 << 20  # most words and pairs that are numbered; the others go by their hash
-SIDE_BITS, LOAD = 9, 1 << 14  # a tile's side; pairs of a block from which on its cells are addressed directly
-TILES = 48  # dense tiles a task holds
-COORDINATES = 1 << 21  # sorted coordinates a task holds
+WORDS, PAIRS = 1 << 18, 1 << 18  # most words and pairs that are numbered; the others go by their hash
+SIDE_BITS, LOAD = 9, 1 << 13  # a tile's side; pairs of a block from which on its cells are addressed directly
+TILES = 24  # dense tiles a task holds
+COORDINATES = 1 << 19  # sorted coordinates a task holds
 FILTER_BITS = 27  # at most so many cells (2^n) tell words and pairs that cannot be frequent
-BLOCK = 4 << 20  # bytes of text at a time
+BLOCK = 2 << 20  # bytes of text at a time
 HASHED = 1 << 62  # from here on an id is a hash
 SALTS = 64
 
@@ -227,7 +227,7 @@ def _most_frequent(table: DataFrame, most: int, *columns: str) -> pd.DataFrame:
         if held > most:
             break
         least = row.s
-    chosen = table.filter(F.lit(False) if least is None else step >= least).select(*columns, "n").toPandas()
+    chosen = table.filter(F.lit(False) if least is None else step >= least).select(*columns, "n").toArrow().to_pandas()
     return chosen.sort_values(["n", *columns], ascending=[False, *[True] * len(columns)], ignore_index=True)
 
 
