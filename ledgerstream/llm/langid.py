@@ -13,21 +13,23 @@ from pyspark.sql import functions as F
 from ledgerstream.llm.common import slices
 
 DIMENSIONS = 1024
-SYMBOLS = 128  # 0 stands for whatever is not a letter; letters beyond those of European scripts share the rest
+SYMBOLS = 128  # 0 stands for whatever is not a letter; those of European scripts come first, the others by code point
+SHIFT = 21  # bits of a symbol
+TRIGRAMS = 4096  # distinct trigrams that are bound at a time
 UNKNOWN = "und"
 SLICE_ROWS, PIECE = 256, 1 << 20  # texts and characters encoded at a time
 
 
 def _symbols() -> np.ndarray:
-    """Symbol of each code point; lower-case letters below U+0180 have one each."""
-    table, n = np.zeros(sys.maxunicode + 1, np.uint8), 0
+    """Symbol of each code point; lower-case letters below U+0180 have the first ones, up to the last of ``SYMBOLS``."""
+    table, n = np.zeros(sys.maxunicode + 1, np.int32), 0
     for point in range(0x180):
         if chr(point).isalpha() and chr(point) == chr(point).lower():
             n += 1
             table[point] = min(n, SYMBOLS - 1)
     for point in range(0x180, sys.maxunicode + 1):
         if chr(point).isalpha():
-            table[point] = 1 + point % (SYMBOLS - 1)
+            table[point] = SYMBOLS + point
     return table
 
 
@@ -36,17 +38,26 @@ class Encoder:
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = 7):
         letters = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions)).astype(np.int8) * 2 - 1
-        # A letter's place in the trigram is a rotation of its vector.
-        self.first, self.second, self.third = np.roll(letters, 2, 1), np.roll(letters, 1, 1), letters
+        self.own = letters
         self.dimensions = dimensions
         self.symbol = _symbols()
         self.column = np.zeros(SYMBOLS ** 3, np.int32)
 
-    def vectors(self, trigrams: np.ndarray) -> np.ndarray:
-        """Binds each trigram's rotated letter vectors."""
-        a, rest = np.divmod(trigrams, SYMBOLS * SYMBOLS)
-        b, c = np.divmod(rest, SYMBOLS)
-        return self.first[a] * self.second[b] * self.third[c]
+    def letters(self, symbols: np.ndarray) -> np.ndarray:
+        """Vectors of letters: drawn for the first ones, from a hash of the code point and the place for the others."""
+        out = self.own[np.minimum(symbols, SYMBOLS - 1)]
+        other = np.flatnonzero(symbols >= SYMBOLS)
+        words = symbols[other].astype(np.uint64)[:, None] * np.uint64(self.dimensions) + np.arange(
+            -(-self.dimensions // 64), dtype=np.uint64)
+        for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, 1)):
+            words = (words ^ (words >> np.uint64(shift))) * np.uint64(factor)
+        bits = np.unpackbits(words.view(np.uint8), axis=1)[:, :self.dimensions]
+        out[other] = bits.astype(np.int8) * 2 - 1
+        return out
+
+    def vectors(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """Binds the letters' vectors, each rotated by its place in the trigram."""
+        return np.roll(self.letters(a), 2, 1) * np.roll(self.letters(b), 1, 1) * self.letters(c)
 
     def encode(self, texts: list[str]) -> np.ndarray:
         """For each text the sum of its trigram vectors; trigrams have a letter in the middle."""
@@ -63,17 +74,35 @@ class Encoder:
     def _add(self, out: np.ndarray, run: list[str], lead: bool = False, tail: bool = False) -> None:
         """lead, tail: the first, the last letter only stands beside others."""
         joined = "\n" + "\n".join(run) + "\n"
-        codes = self.symbol[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)].astype(np.int32)
+        codes = self.symbol[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
         keep = codes[1:-1] > 0
         keep[:lead], keep[len(keep) - tail:] = False, False
-        trigrams = ((codes[:-2] * SYMBOLS + codes[1:-1]) * SYMBOLS + codes[2:])[keep]
-        if not len(trigrams):
+        if not keep.any():
             return
         owner = np.repeat(np.arange(len(run)), [len(t) + 1 for t in run])[:-1][keep]
-        seen = np.flatnonzero(np.bincount(trigrams, minlength=SYMBOLS ** 3))
-        self.column[seen] = np.arange(len(seen), dtype=np.int32)
-        counts = np.bincount(owner * len(seen) + self.column[trigrams], minlength=len(run) * len(seen))
-        out += counts.reshape(len(run), -1).astype(np.float32) @ self.vectors(seen).astype(np.float32)
+        a, b, c = (x[keep] for x in (codes[:-2], codes[1:-1], codes[2:]))
+        if codes.max() < SYMBOLS:  # few enough trigrams to have a column each
+            trigrams = (a * SYMBOLS + b) * SYMBOLS + c
+            seen = np.flatnonzero(np.bincount(trigrams, minlength=SYMBOLS ** 3))
+            self.column[seen] = np.arange(len(seen), dtype=np.int32)
+            column = self.column[trigrams]
+            a, b, c = seen // SYMBOLS ** 2, seen // SYMBOLS % SYMBOLS, seen % SYMBOLS
+        else:
+            trigrams = (a.astype(np.int64) << 2 * SHIFT) | (b.astype(np.int64) << SHIFT) | c
+            seen, column = np.unique(trigrams, return_inverse=True)
+            a, b, c = seen >> 2 * SHIFT, seen >> SHIFT & (1 << SHIFT) - 1, seen & (1 << SHIFT) - 1
+        if len(seen) <= TRIGRAMS:
+            counts = np.bincount(owner * len(seen) + column, minlength=len(run) * len(seen))
+            out += counts.reshape(len(run), -1).astype(np.float32) @ self.vectors(a, b, c).astype(np.float32)
+            return
+        order = np.argsort(column, kind="stable")
+        owner, column = owner[order], column[order]
+        for at in range(0, len(seen), TRIGRAMS):
+            part = slice(at, min(at + TRIGRAMS, len(seen)))
+            rows = slice(*np.searchsorted(column, (part.start, part.stop)))
+            width = part.stop - at
+            counts = np.bincount(owner[rows] * width + column[rows] - at, minlength=len(run) * width)
+            out += counts.reshape(len(run), -1).astype(np.float32) @ self.vectors(a[part], b[part], c[part]).astype(np.float32)
 
 
 def prototypes(docs: DataFrame, text_col: str = "text", lang_col: str = "lang") -> dict[str, np.ndarray]:

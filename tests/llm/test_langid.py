@@ -1,3 +1,4 @@
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -15,7 +16,8 @@ def slow_vector(text):
     codes = [0] + [int(encoder.symbol[ord(c)]) for c in text.lower()] + [0]
     for a, b, c in zip(codes, codes[1:], codes[2:]):
         if b:
-            out += np.roll(encoder.third[a], 2) * np.roll(encoder.third[b], 1) * encoder.third[c]
+            a, b, c = (encoder.letters(np.array([x]))[0] for x in (a, b, c))
+            out += np.roll(a, 2) * np.roll(b, 1) * c
     return out
 
 
@@ -61,3 +63,32 @@ def test_labels_of_held_out_rows_are_not_used(spark, sf_dir):
     a, b = (sorted((r.doc_id, r.f.lang_pred) for r in d.select("doc_id", langid.identify(d, d.filter(~held)).alias("f"))
                    .collect()) for d in (docs, other))
     assert a == b
+
+
+def test_letters_of_other_scripts_have_vectors_of_their_own():
+    encoder = langid.Encoder()
+    points = np.array([*range(0x4E00, 0x4E00 + 300), *range(0x430, 0x450), *range(0x3B1, 0x3C9)])
+    vectors = encoder.letters(encoder.symbol[points]).astype(np.int32)
+    products = vectors @ vectors.T
+    assert (np.diag(products) == langid.DIMENSIONS).all()
+    assert np.abs(products - np.diag(np.diag(products))).max() < 6.5 * langid.DIMENSIONS ** 0.5
+    for text in ("漢字かな", "русский язык", "mixed 漢字 and words"):
+        expected = np.zeros(langid.DIMENSIONS)
+        symbols = [0, *encoder.symbol[[ord(ch) for ch in text]].tolist(), 0]
+        for a, b, c in zip(symbols, symbols[1:], symbols[2:]):
+            if b:
+                expected += encoder.vectors(np.array([a]), np.array([b]), np.array([c]))[0]
+        assert (encoder.encode([text])[0] == expected).all()
+
+
+@pytest.mark.parametrize("texts, letters", [(256, 4000), (1, 1_000_000)])
+def test_memory_on_texts_of_many_letters(texts, letters):
+    """Peak of an encoder's arrays on random Chinese characters, nearly all of whose trigrams differ."""
+    rng = np.random.default_rng(9)
+    run = ["".join(map(chr, rng.integers(0x4E00, 0x9FA0, letters))) for _ in range(texts)]
+    encoder = langid.Encoder()
+    tracemalloc.start()
+    encoder.encode(run)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 500e6, peak
