@@ -1,3 +1,5 @@
+from decimal import Decimal, getcontext
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -87,3 +89,30 @@ def test_ties_beyond_the_product_keep_the_smallest_ids():
     base = pd.DataFrame({"_key": range(40), "_vec": [[3.0 * 2 ** (i % 20), 4.0 * 2 ** (i % 20)] for i in range(40)]}).iloc[::-1]
     found = vectors._compare(base, pd.DataFrame({"_key": [99], "_vec": [[3.0, 4.0]]}), 6)
     assert found["_rep"].tolist() == list(range(6)) and found["_query"].tolist() == [99] * 6
+
+
+def test_magnitudes_that_squares_cannot_hold(spark):
+    """Against exact arithmetic: finite components of any size, and lengths far apart."""
+    getcontext().prec = 60
+    given = {0: [1e200, 1e200], 1: [1e200, 0.0], 2: [1e-200, 1e-201], 3: [3.0, 4.0], 4: [-1e308, 1e300], 5: [5e-324, 5e-324],
+             6: [1e155, -1e150], 50: [1e-300, 1.5e-299]}
+
+    def cosine(a, b):
+        a, b = ([Decimal(x) for x in v] for v in (a, b))
+        dot = lambda x, y: sum(p * q for p, q in zip(x, y))
+        return dot(a, b) / (dot(a, a).sqrt() * dot(b, b).sqrt())
+
+    table = spark.createDataFrame(list(given.items()), "vec_id bigint, embedding array<double>")
+    found = vectors.nearest(table, F.col("vec_id") % 50 == 0).collect()
+    for q in (0, 50):
+        rows = sorted((r.rank, r.vec_id, r.score) for r in found if r.query_id == q)
+        expected = sorted((-cosine(given[q], v), i) for i, v in given.items() if i != q)[:5]
+        assert [i for _, i, _ in rows] == [i for _, i in expected]
+        assert all(abs(s + float(c)) < 1e-15 for (_, _, s), (c, _) in zip(rows, expected))
+
+
+def test_clashing_columns_do_not_matter(spark):
+    plain = spark.createDataFrame([(i, [float(i % 7), float(i % 5), 1.0]) for i in range(60)], "vec_id bigint, embedding array<double>")
+    clashing = plain.selectExpr("*", *[f"'x' as {c}" for c in ("query_id", "rank", "score", "_part", "_key", "_vec", "_id", "_n", "_rep")])
+    one, other = (sorted(map(tuple, vectors.nearest(t, F.col("vec_id") % 50 == 0).collect())) for t in (plain, clashing))
+    assert one == other and len(one) == 10
