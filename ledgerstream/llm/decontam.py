@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 import math
+import re
 from collections import defaultdict
 from collections.abc import Iterator
-from functools import reduce
 from itertools import repeat
 
 import numpy as np
@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerstream.llm.common import slices
+from ledgerstream.llm.common import discard, slices, stored
 
 MATCH = "array<struct<item_id:bigint,distance:int,first_word:bigint,end_word:bigint>>"
 KINDS = 4096  # of symbols that have random bits of their own
@@ -21,17 +21,23 @@ SAMPLED = 4  # steps of a walk that make up a key
 AGREEMENT = 0.63  # part of the steps in which a passage of 20 % edits agrees with its item, as measured
 BLOCK_BYTES = 2 << 20  # item texts searched for in one pass; more items take more passes
 ROWS, CHARS, PIECE = 4096, 4 << 20, 1 << 20  # texts and characters in a slice, words in a piece of a long text
+# Scripts that are written without spaces between words: each of their characters counts as a word.
+UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
+                      "\U00020000-\U0003ffff]")
 _SPLIT = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
 def words_of(text: str) -> Iterator[list[bytes]]:
-    """Lower-cased words (letters and digits) of a text, in runs."""
+    """Lower-cased words (letters and digits) of a text, in runs; characters of unspaced scripts stand alone."""
     at = 0
     while at < len(text):
         stop = at + CHARS
-        while stop < len(text) and text[stop].isalnum():  # a word is never cut
+        while stop < len(text) and text[stop].isalnum() and not UNSPACED.match(text[stop]):  # a word is never cut
             stop += 1
-        yield text[at:stop].lower().encode("utf-8", "replace").translate(_SPLIT).split()
+        part = text[at:stop].lower()
+        if not part.isascii() and UNSPACED.search(part):
+            part = UNSPACED.sub(r" \g<0> ", part)
+        yield part.encode("utf-8", "replace").translate(_SPLIT).split()
         at = stop
 
 
@@ -46,7 +52,9 @@ class Items:
     def __init__(self, rows: list[tuple[int, str]], edits: float, min_words: int, recall: float, seed: int):
         self.edits = edits
         split = [(i, [w for run in words_of(t or "") for w in run]) for i, t in rows]
-        split = sorted(((i, ws) for i, ws in split if len(ws) >= min_words), key=lambda x: (len(x[1]), x[0]))
+        split = sorted(((i, ws) for i, ws in split if ws), key=lambda x: (len(x[1]), x[0]))
+        few = sum(len(ws) < min_words for _, ws in split)
+        split = split[few:] + split[:few]  # the short ones last: they take no walk
         self.ids = [i for i, _ in split]
         self.symbols: dict[bytes, int] = {}
         for _, ws in split:
@@ -54,11 +62,13 @@ class Items:
                 self.symbols.setdefault(w, len(self.symbols) + 1)
         self.pad = len(self.symbols) + 1  # stands behind a text; 0 stands for words of no item
         self.items = [np.array([self.symbols[w] for w in ws], np.int32) for _, ws in split]
+        self.walked = len(split) - few
+        self.short = self._short()
         self.limits = [int(edits * len(x)) for x in self.items]
         self.reach = max((len(x) + 2 * k + 1 for x, k in zip(self.items, self.limits)), default=1)
         # Items of similar length share one length of windows.
         self.classes: list[list[int]] = []
-        for n, item in enumerate(self.items):
+        for n, item in enumerate(self.items[:self.walked]):
             if not self.classes or len(item) > 1.25 * len(self.items[self.classes[-1][0]]):
                 self.classes.append([])
             self.classes[-1].append(n)
@@ -66,6 +76,28 @@ class Items:
         self.walks = [self._walk(rng) for _ in range(repetitions(recall))]
         self.masks = [self._masks(item) for item in self.items]
 
+    def _short(self) -> dict[int, tuple[np.ndarray, dict[tuple[int, ...], list[int]]]]:
+        """By number of words: which symbols stand at each place of a short item, and the items by their symbols."""
+        found: dict[int, tuple[np.ndarray, dict[tuple[int, ...], list[int]]]] = {}
+        for n in range(self.walked, len(self.items)):
+            item = tuple(self.items[n].tolist())
+            there, items = found.setdefault(len(item), (np.zeros((len(item), self.pad + 1), bool), {}))
+            there[np.arange(len(item)), item] = True
+            items.setdefault(item, []).append(n)
+        return found
+
+    def runs(self, tokens: np.ndarray) -> Iterator[tuple[int, int]]:
+        """(first token, item) of each run of tokens that is a short item, word by word."""
+        for n, (there, items) in self.short.items():
+            if len(tokens) < n:
+                continue
+            may = there[0].take(tokens[:len(tokens) - n + 1])
+            for place in range(1, n):
+                may &= there[place].take(tokens[place:len(tokens) - n + 1 + place])
+            for i in np.flatnonzero(may).tolist():
+                for item in items.get(tuple(tokens[i:i + n].tolist()), ()):
+                    yield i, item
+
     def _walk(self, rng: np.random.Generator):
         """Random bits of each step and kind of symbol; for each class its sampled steps, and its items by key."""
         steps = [max(int(1.6 * len(self.items[c[0]])), SAMPLED) for c in self.classes]
@@ -230,6 +262,11 @@ class Items:
             tokens = np.concatenate(pieces)
             begins = np.concatenate(([0], np.cumsum([len(p) for p in pieces])))[:-1:2]
             ends = begins + [len(p) for p in pieces[::2]]
+            for first, item in self.runs(tokens):
+                piece = int(np.searchsorted(begins, first, "right")) - 1
+                at = first - int(begins[piece]) + offsets[piece]
+                found = (0, at, at + len(self.items[item]))
+                best[owners[piece]][item] = min(best[owners[piece]].get(item, found), found)
             for window, item in sorted(set(self.candidates(tokens))):
                 piece = int(np.searchsorted(begins, window, "right")) - 1
                 limit, begin, end = self.limits[item], int(begins[piece]), int(ends[piece])
@@ -259,18 +296,46 @@ def contamination(benchmark: DataFrame, text: Column, edits: float = 0.2, min_wo
     others more often.
 
     Each item is reported once for a text, at its nearest passage (ties: the first). Equal items are each reported.
-    Items that are null or have fewer than ``min_words`` words are not searched for: chance would find them. A null or
-    empty text holds none (empty array). Items are searched for in blocks of 2 MB of text, one block to a pass over
-    the texts, so that what tasks hold of them is bounded.
+    Characters of scripts without spaces count as words. Items of fewer than ``min_words`` words are found where they
+    stand word by word: an item of one word is in every text with that word. Items that are null or have no word are
+    in none. A null or empty text holds none (empty array). For benchmarks of at most 2 MB of text; ``with_matches``
+    takes any.
     """
-    items = benchmark.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t")).dropna()
-    size = items.agg(F.sum(F.octet_length("_t"))).first()[0] or 0
-    blocks = size // BLOCK_BYTES + 1
-    found = []
+    items, blocks = _blocks(benchmark, id_col, text_col)
+    if blocks > 1:
+        raise ValueError(f"a benchmark of more than {BLOCK_BYTES} bytes takes several passes: use with_matches")
+    return _finder(_rows(items, 0, 1), edits, min_words, recall, seed)(text)
+
+
+def with_matches(docs: DataFrame, benchmark: DataFrame, name: str, edits: float = 0.2, min_words: int = 5,
+                 recall: float = 0.9, seed: int = 11, id_col: str = "item_id", item_col: str = "text",
+                 text_col: str = "text") -> DataFrame:
+    """``docs`` with a column ``name`` of the items that ``text_col`` holds, as ``contamination`` finds them.
+
+    Items are searched for in blocks of 2 MB of text, one to a pass over the texts. A pass is written before the next block
+    is read, so tasks, driver and plan hold one block, however large the benchmark.
+    """
+    items, blocks = _blocks(benchmark, id_col, item_col)
+    before = None
     for block in range(blocks):
-        rows = items.filter(F.pmod(F.xxhash64("_t", "_i"), F.lit(blocks)) == block).collect()
-        found.append(_finder([(r._i, r._t) for r in sorted(rows)], edits, min_words, recall, seed)(text))
-    return reduce(lambda a, b: F.concat(a, b), found)
+        found = _finder(_rows(items, block, blocks), edits, min_words, recall, seed)(F.col(text_col))
+        docs = docs.withColumn(name, F.concat(name, found) if block else found)
+        if block < blocks - 1:
+            docs = stored(docs, "leaks")
+            if before is not None:
+                discard(before)
+            before = docs
+    return docs
+
+
+def _blocks(benchmark: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, int]:
+    items = benchmark.select(F.col(id_col).alias("_i"), F.col(text_col).alias("_t")).dropna()
+    return items, (items.agg(F.sum(F.octet_length("_t"))).first()[0] or 0) // BLOCK_BYTES + 1
+
+
+def _rows(items: DataFrame, block: int, blocks: int) -> list[tuple[int, str]]:
+    rows = items.filter(F.pmod(F.xxhash64("_t", "_i"), F.lit(blocks)) == block).collect()
+    return [(r._i, r._t) for r in sorted(rows)]
 
 
 def _finder(rows: list[tuple[int, str]], edits: float, min_words: int, recall: float, seed: int):

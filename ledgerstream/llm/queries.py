@@ -42,9 +42,8 @@ def op5_learned_partitions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op6_cgk_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row for each benchmark item that a document holds."""
-    held = decontam.contamination(_table(spark, sf_dir, "benchmark"), F.col("text"))
-    return (_table(spark, sf_dir, "documents").select("doc_id", held.alias("held"))
-            .select("doc_id", F.inline("held")))
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decontam.with_matches(docs, _table(spark, sf_dir, "benchmark"), "held").select("doc_id", F.inline("held"))
 
 
 def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -113,7 +113,7 @@ def test_awkward_rows(spark, clashing):
                                    (5, "word word")], "item_id bigint, text string")
     found = clashing.select("doc_id", F.inline(decontam.contamination(bench, F.col("text")))).collect()
     assert sorted((r.doc_id or 0, r.item_id, r.distance) for r in found) == sorted(
-        (d, i, 0) for d in (4, 4, 0, 5) for i in (3, 4) if d) and clashing.count() == 10
+        [(d, i, 0) for d in (4, 4, 5) for i in (3, 4)] + [(6, 5, 0)]) and clashing.count() == 10
 
 
 def test_empty_tables(spark, documents):
@@ -127,8 +127,36 @@ def test_blocks_of_items_give_the_same(monkeypatch, spark, planted, documents):
     items, texts = planted
     bench = spark.createDataFrame(items, "item_id bigint, text string")
     docs = documents(list(enumerate(texts[:80])))
-    rows = lambda: sorted(map(tuple, docs.select("doc_id", F.inline(decontam.contamination(bench, F.col("text")))).collect()))
+    rows = lambda: sorted(map(tuple, decontam.with_matches(docs, bench, "held").select("doc_id", F.inline("held")).collect()))
     whole = rows()
     monkeypatch.setattr(decontam, "BLOCK_BYTES", 4000)
     exact = lambda found: {r for r in found if r[2] == 0}
     assert exact(rows()) == exact(whole) and whole
+    with pytest.raises(ValueError, match="with_matches"):
+        decontam.contamination(bench, F.col("text"))
+
+
+def test_short_items_are_found_word_by_word():
+    items = [(1, "four words of it"), (2, "of it"), (3, "Of, it!"), (4, "lone"), (5, "five words are a walk")]
+    texts = ["has four words of it in", "four words of", "x of it of it", "lone", "", "a walk: five words are a walk", "of", "it of"]
+    found = Items(items, 0.2, 5, 0.9, 11).matches(texts)
+    brute = []
+    for text in texts:
+        ws = words(text)
+        own = []
+        for i, item in items:
+            x = words(item)
+            at = [k for k in range(len(ws) - len(x) + 1) if ws[k:k + len(x)] == x]
+            if at:
+                own.append((i, 0, at[0], at[0] + len(x)))
+        brute.append(own)
+    assert [[(m["item_id"], m["distance"], m["first_word"], m["end_word"]) for m in f] for f in found] == brute
+
+
+def test_scripts_without_spaces():
+    """A sentence is as many words as it has characters; an edit is one character."""
+    item, short = "今天天气很好我们一起去公园散步吧朋友们都来了", "ไทย"
+    edited = item[:9] + "要" + item[10:]
+    texts = [f"前面的话{item}后面的话", f"x {edited} y", "今天天气", f"ภาษา{short}คือ", "nothing of it"]
+    found = Items([(1, item), (2, short)], 0.2, 5, 0.9, 11).matches(texts)
+    assert [[(m["item_id"], m["distance"]) for m in f] for f in found] == [[(1, 0)], [(1, 1)], [], [(2, 0)], []]
