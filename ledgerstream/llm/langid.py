@@ -17,6 +17,7 @@ SYMBOLS = 128  # 0 stands for whatever is not a letter; those of European script
 SHIFT = 21  # bits of a symbol
 TRIGRAMS = 4096  # distinct trigrams that are bound at a time
 UNKNOWN = "und"
+NOISE = 190  # trigrams of a text at which its own noise is as large as its language's part, as measured
 SLICE_ROWS, PIECE = 256, 1 << 20  # texts and characters encoded at a time
 
 
@@ -60,19 +61,20 @@ class Encoder:
         return np.roll(self.letters(a), 2, 1) * np.roll(self.letters(b), 1, 1) * self.letters(c)
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        """For each text the sum of its trigram vectors; trigrams have a letter in the middle."""
-        out = np.zeros((len(texts), self.dimensions))
+        """For each text the sum of its trigram vectors; trigrams have a letter in the middle. ``met`` has their numbers."""
+        out, self.met = np.zeros((len(texts), self.dimensions)), np.zeros(len(texts), np.int64)
         for first, run in slices([t.lower() for t in texts], SLICE_ROWS, PIECE):
             if len(run) > 1 or len(run[0]) <= PIECE:
-                self._add(out[first:first + len(run)], run)
+                self._add(slice(first, first + len(run)), out, run)
             else:  # a very long text goes in pieces, each with the letters beside it
                 for at in range(0, len(run[0]), PIECE):
                     piece = run[0][max(at - 1, 0):at + PIECE + 1]
-                    self._add(out[first:first + 1], [piece], lead=at > 0, tail=at + PIECE < len(run[0]))
+                    self._add(slice(first, first + 1), out, [piece], lead=at > 0, tail=at + PIECE < len(run[0]))
         return out
 
-    def _add(self, out: np.ndarray, run: list[str], lead: bool = False, tail: bool = False) -> None:
-        """lead, tail: the first, the last letter only stands beside others."""
+    def _add(self, rows: slice, out: np.ndarray, run: list[str], lead: bool = False, tail: bool = False) -> None:
+        """Adds a run of texts to their rows. lead, tail: the first, the last letter only stands beside others."""
+        out = out[rows]
         joined = "\n" + "\n".join(run) + "\n"
         codes = self.symbol[np.frombuffer(joined.encode("utf-32-le", "replace"), np.uint32)]
         keep = codes[1:-1] > 0
@@ -80,6 +82,7 @@ class Encoder:
         if not keep.any():
             return
         owner = np.repeat(np.arange(len(run)), [len(t) + 1 for t in run])[:-1][keep]
+        self.met[rows] += np.bincount(owner, minlength=len(run))
         a, b, c = (x[keep] for x in (codes[:-2], codes[1:-1], codes[2:]))
         if codes.max() < SYMBOLS:  # few enough trigrams to have a column each
             trigrams = (a * SYMBOLS + b) * SYMBOLS + c
@@ -99,9 +102,9 @@ class Encoder:
         owner, column = owner[order], column[order]
         for at in range(0, len(seen), TRIGRAMS):
             part = slice(at, min(at + TRIGRAMS, len(seen)))
-            rows = slice(*np.searchsorted(column, (part.start, part.stop)))
+            some = slice(*np.searchsorted(column, (part.start, part.stop)))
             width = part.stop - at
-            counts = np.bincount(owner[rows] * width + column[rows] - at, minlength=len(run) * width)
+            counts = np.bincount(owner[some] * width + column[some] - at, minlength=len(run) * width)
             out += counts.reshape(len(run), -1).astype(np.float32) @ self.vectors(a[part], b[part], c[part]).astype(np.float32)
 
 
@@ -137,26 +140,36 @@ def predictor(profiles: dict[str, np.ndarray]):
     names = list(profiles)
     unit = np.array([v / np.linalg.norm(v) for v in profiles.values()]).reshape(len(names), DIMENSIONS)
 
-    @F.pandas_udf("lang_pred string, score double")
+    @F.pandas_udf("lang_pred string, score double, trigrams long")
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         encoder = Encoder()
         for texts in batches:
-            langs, scores = [], []
+            langs, scores, met = [], [], []
             for _, run in slices(list(texts.fillna("")), SLICE_ROWS * 8, PIECE * 4):
                 vectors = encoder.encode(run)
+                met.append(encoder.met)
                 length = np.linalg.norm(vectors, axis=1)
                 cosines = (vectors @ unit.T) / np.where(length > 0, length, 1)[:, None]
                 for cosine, some in zip(cosines, length > 0):
                     best = int(cosine.argmax()) if names and some else -1
                     langs.append(names[best] if best >= 0 else UNKNOWN)
                     scores.append(min(1.0, max(0.0, float(cosine[best]))) if best >= 0 else 0.0)
-            yield pd.DataFrame({"lang_pred": langs, "score": scores})
+            yield pd.DataFrame({"lang_pred": langs, "score": scores, "trigrams": np.concatenate([[], *met]).astype(np.int64)})
 
     return predict
 
 
+def expected(trigrams: Column) -> Column:
+    """About the cosine that a text of so many trigrams has with its own language, by its length alone.
+
+    A sum of n trigrams drawn from a language holds the language's part n times and each one's own noise; the cosine
+    follows sqrt(n / (n + ``NOISE``)).
+    """
+    return F.sqrt(trigrams / (trigrams + F.lit(float(NOISE))))
+
+
 def identify(docs: DataFrame, learn_from: DataFrame, text_col: str = "text", lang_col: str = "lang") -> Column:
-    """A struct of ``lang_pred`` and ``score`` for the texts in ``text_col``, learned from the rows of ``learn_from``.
+    """A struct of ``lang_pred``, ``score`` and ``trigrams`` (their number) for the texts in ``text_col``, learned from the rows of ``learn_from``.
 
     Each letter has a random vector of +1 and -1. A trigram's vector is the product of its letters' vectors, each
     rotated by its place; a text's vector is the sum over its trigrams, a language's prototype the sum over its texts.

@@ -62,7 +62,8 @@ def op10_hyperdimensional_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "lang",
                                                      (remainder("doc_id", 5) == 0).alias("held_out"))
     found = langid.identify(docs, docs.filter("not held_out"))
-    return docs.select("doc_id", "held_out", found.alias("found")).select("doc_id", "held_out", "found.*")
+    return docs.select("doc_id", "held_out", found.alias("found")).select(
+        "doc_id", "held_out", "found.lang_pred", "found.score")
 
 
 def op11_collocation_tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
