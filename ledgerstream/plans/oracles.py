@@ -167,4 +167,17 @@ ORACLES: dict[str, str] = {
         tops as (select a chain, min(account_id) group_id from reached join ties on ties.chain = b group by a),
         grouped as (select account_id, min(group_id) group_id from ties join tops using (chain) group by account_id)
         select account_id, group_id, count(*) over (partition by group_id) accounts from grouped""",
+    "account_profiles": _WITH + f"""
+        select account_id, count(*) transaction_count, round(sum(amount_transferred), 2) total_amount,
+               min(amount_transferred) min_amount, max(amount_transferred) max_amount
+        from tx where ms >= {_PARTS_FROM} + 7 * {_DAY} and ms < {_PARTS_FROM} + 17 * {_DAY} group by account_id""",
+    "route_with_new_schemas": _WITH + """
+        select topic, count(*) n from (
+            select case when coalesce(decode_error, 'unknown_schema') = 'unknown_schema' and topic <> 'rejects' then topic
+                        when decode_error = 'unknown_schema' and event_id % 4 < 2 then null
+                        else 'dead-letters' end topic from dest)
+        where topic is not null group by topic""",
+    "route_to_two_sinks": _WITH + """
+        select 'topics' sink, event_id, topic, reject_reason from dest
+        union all select 'rejects', event_id, topic, reject_reason from dest where reject_reason is not null""",
 }

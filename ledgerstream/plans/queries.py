@@ -10,12 +10,13 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerstream.functions import eventtime, frames
 from ledgerstream.functions.rules import AlertRules
-from ledgerstream.operators import alerts, balances, chains, correlation, envelope, router, routing, sessions
+from ledgerstream.operators import (alerts, balances, chains, correlation, envelope, profiles, router, routing,
+                                    sessions)
 from ledgerstream.operators.envelope import Writer
 from ledgerstream.plans import sqljobs
 from ledgerstream.session import configure, run_dir
 from ledgerstream.sources import bank_events, files
-from ledgerstream.streaming import jobs, late, replay, sinks, state
+from ledgerstream.streaming import jobs, late, live, replay, sinks, state, steps
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -169,6 +170,40 @@ def replayed_letters(spark, sf_dir):
         ids(OUTPUTS.fraud_report_topic, "FraudReport", "report_id"))
 
 
+@_register
+def route_with_new_schemas(spark, sf_dir):
+    """Messages in four batches; the schema of some of them is registered after the second."""
+    out = run_dir(spark, "route_with_new_schemas")
+    known = [(i, w.record, w.avro) for i, w in WRITERS.items()]
+    spark.createDataFrame(known, live.SCHEMAS).coalesce(1).write.parquet(f"{out}/schemas")
+    events = bank_events.events(spark, sf_dir)
+    for half in (0, 1):
+        for quarter in (2 * half, 2 * half + 1):
+            part = bank_events.corrupted_messages(events.filter(F.col("event_id") % 4 == quarter))
+            part.coalesce(1).write.mode("append").parquet(f"{out}/messages")
+        messages = files.read_stream(spark, f"{out}/messages", "value binary", files_per_batch=1)
+        _finish(live.route(messages, f"{out}/schemas", f"{out}/sent", OUTPUTS, "json"), spark, "route_with_new_schemas", out)
+        late_one = spark.createDataFrame([(bank_events.UNKNOWN_ID, "BankEvent", "")], live.SCHEMAS)
+        late_one.coalesce(1).write.mode("append").parquet(f"{out}/schemas")
+    return live.sent(spark, f"{out}/sent").groupBy("topic").agg(F.count("*").alias("n"))
+
+
+@_register
+def route_to_two_sinks(spark, sf_dir):
+    """Topics and a table of rejects by one query, each batch once into each."""
+    out = run_dir(spark, "route_to_two_sinks")
+    routed = routing.classify(bank_events.corrupted_envelopes(bank_events.events_stream(spark, sf_dir)))
+
+    def rejects(batch: DataFrame, batch_id: int) -> None:
+        steps.files(f"{out}/rejects")(batch.filter("reject_reason is not null"), batch_id)
+
+    writer = steps.write_in_turn(routed, f"{out}/ledger", {"topics": steps.files(f"{out}/topics"), "rejects": rejects})
+    _finish(writer, spark, "route_to_two_sinks", out)
+    topics, kept = (_read_back(spark, routed, f"{out}/{sink}") for sink in ("topics", "rejects"))
+    return (topics.select(F.lit("topics").alias("sink"), "event_id", "topic", "reject_reason")
+            .unionByName(kept.select(F.lit("rejects").alias("sink"), "event_id", "topic", "reject_reason")))
+
+
 # Balances
 
 @_register
@@ -263,6 +298,16 @@ def account_history(spark, sf_dir):
                   "avg_amount", "stddev_amount", digits=9)
 
 
+@_register
+def account_profiles(spark, sf_dir):
+    """Profiles over ten days, from daily sketches that are written and read again."""
+    out = run_dir(spark, "account_profiles")
+    daily = profiles.daily_profiles(_transactions(spark, sf_dir))
+    daily.write.parquet(f"{out}/daily")
+    found = profiles.profiles(spark.read.schema(daily.schema).parquet(f"{out}/daily"), "2024-01-08", "2024-01-18")
+    return _cents(found.select("account_id", "transaction_count", "total_amount", "min_amount", "max_amount"), "total_amount")
+
+
 # Alerts
 
 @_register

@@ -1,0 +1,96 @@
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import finish, rows
+from ledgerstream.functions import frames
+from ledgerstream.operators import envelope, router
+from ledgerstream.operators.envelope import Writer
+from ledgerstream.sources import files
+from ledgerstream.streaming import live, replay
+
+OUTPUTS = router.Outputs(2, 3, dead_letter_topic="dead")
+OLD = [(1, "BankEvent", ""), (2, "Transaction", ""), (3, "FraudReport", "")]
+
+
+@pytest.fixture
+def job(spark, transactions, tmp_path):
+    path = str(tmp_path)
+
+    class Job:
+        def register(self, *schemas):
+            spark.createDataFrame(list(schemas), live.SCHEMAS).coalesce(1).write.mode("append").parquet(f"{path}/schemas")
+
+        def publish(self, items, schema_id):
+            body = transactions(items).select(F.struct(F.lit("Transaction").alias("event_type")).alias("metadata"),
+                                              F.struct(F.struct("*").alias("member0")).alias("body"))
+            value = frames.frame(schema_id, F.to_json(F.struct("*")).cast("binary"))
+            body.select(value.alias("value")).coalesce(1).write.mode("append").parquet(f"{path}/in")
+
+        def run(self, outputs=OUTPUTS):
+            messages = files.read_stream(spark, f"{path}/in", "value binary", files_per_batch=1)
+            finish(live.route(messages, f"{path}/schemas", f"{path}/out", outputs, "json"), spark, "live", path)
+
+        def accounts(self):
+            sent = live.sent(spark, f"{path}/out").filter("topic = 'transactions'")
+            return [a for a, in rows(envelope.records(envelope.decode(sent, {2: Writer("Transaction")}, "Transaction", "json")),
+                                     "account_id")]
+
+        def parked(self):
+            return sum(r.waiting for r in live.parked(spark, f"{path}/out").collect())
+
+    return Job()
+
+
+def test_an_id_that_appears_between_two_batches(job):
+    """Within one query and over a restart; a parked message is sent once."""
+    job.register(*OLD)
+    job.publish([("a", 1, 1)], 1)
+    job.publish([("b", 1, 2), ("c", 1, 3)], 7)
+    job.run()
+    assert job.accounts() == ["a"] and job.parked() == 2
+    job.register((7, "BankEvent", ""), (7, "BankEvent", ""))
+    job.publish([("d", 1, 4)], 7)
+    job.publish([("e", 1, 5)], 8)
+    job.run()
+    assert job.accounts() == ["a", "b", "c", "d"] and job.parked() == 1
+    job.publish([("f", 1, 6)], 1)
+    job.run()
+    assert job.accounts() == ["a", "b", "c", "d", "f"] and job.parked() == 1
+
+
+def test_a_schema_of_another_record_is_no_help(job):
+    job.register(*OLD)
+    job.publish([("a", 1, 1)], 7)
+    job.run()
+    job.register((7, "Alert", ""))
+    job.publish([("b", 1, 2)], 1)
+    job.run()
+    assert job.accounts() == ["b"] and job.parked() == 1
+
+
+def test_a_batch_that_dies_after_its_replay(job, monkeypatch):
+    job.register(*OLD)
+    job.publish([("a", 1, 1)], 7)
+    job.run()
+    job.register((7, "BankEvent", ""))
+    job.publish([("b", 1, 2)], 7)
+    done = replay.replay
+
+    def dies(*args):
+        done(*args)
+        raise RuntimeError("after the replay")
+
+    monkeypatch.setattr(replay, "replay", dies)
+    with pytest.raises(Exception, match="after the replay"):
+        job.run()
+    monkeypatch.undo()
+    job.run()
+    assert job.accounts() == ["a", "b"] and job.parked() == 0
+
+
+def test_without_dead_letters_parked_messages_stay(job):
+    job.register(*OLD)
+    job.publish([("a", 1, 1)], 7)
+    job.publish([("b", 1, 1)], 2)  # a transaction where an envelope should be
+    job.run(router.Outputs(2, 3))
+    assert job.accounts() == [] and job.parked() == 1
