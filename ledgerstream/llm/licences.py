@@ -48,6 +48,7 @@ TEMPLATES = [
 COVERAGE = 0.75  # least part of a notice's words found in their places
 SHIFT = 2  # words that a place may be off
 RAREST = 3  # words of highest IDF that each notice is looked up by
+AGREEING = 2  # rare words of a notice that must agree on its place
 RESULT = "n_words long, n_base long, first_word long, last_word long, base_labels string, labels string, score double"
 
 # Bytes outside words become spaces; A-Z become lower case; all bytes of other letters are in words.
@@ -88,12 +89,16 @@ class Index:
                 if w in rare:
                     self.postings[w].append((n, i))
 
+        # Rare words that must agree on a notice's place.
+        self.needed = [min(AGREEING, sum(any(m == n for m, _ in held) for held in self.postings.values()))
+                       for n in range(len(self.templates))]
+
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
-        votes: dict[int, set[int]] = defaultdict(set)  # template -> places where it would start
+        votes: dict[int, dict[int, set[bytes]]] = defaultdict(lambda: defaultdict(set))  # template -> start -> its words
         for place in [i for i, w in enumerate(words) if w in self.postings]:
             for n, i in self.postings[words[place]]:
-                votes[n].add(place - i)
+                votes[n][place - i].add(words[place])
         places, base, labels, best = [], set(), set(), 0.0
         for n, starts in votes.items():
             t = self.templates[n]
@@ -104,7 +109,7 @@ class Index:
                     base.add(t.label)
                     best = 1.0
                 continue
-            for start in starts:
+            for start in self._agreed(starts, self.needed[n]):
                 covered = self._covered(t.words, words, start)
                 low, high = max(start - SHIFT, 0), start + len(t.words) + SHIFT
                 if covered > best and all(_holds(words[low:high], k) for k in t.keys):
@@ -114,6 +119,12 @@ class Index:
         return (len(words), len(places), min(places, default=None), max(places, default=None),
                 ",".join(sorted(base)), ",".join(sorted(base | labels)), best)
 
+    @staticmethod
+    def _agreed(starts: dict[int, set[bytes]], needed: int) -> list[int]:
+        """The intersection of the postings: starts that so many different rare words give, ``SHIFT`` words off at most."""
+        return [s for s in starts
+                if len(set().union(*(starts.get(s + d, ()) for d in range(-SHIFT, SHIFT + 1)))) >= needed]
+
     @staticmethod
     def _covered(template: list[bytes], words: list[bytes], start: int) -> float:
         """Part of the template's words that stand in their places, by one shift or by one that grows or shrinks."""
@@ -135,8 +146,8 @@ def scan(text: Column) -> Column:
 
     Words are runs of ASCII letters and digits and of all characters beyond ASCII, with A-Z lower-cased. ``n_base``
     counts each place of each base phrase (its words consecutive), ``first_word`` and ``last_word`` are the smallest and
-    largest of them, null if there is none. Each notice is looked up by its words of highest IDF; words that agree on
-    where the notice would start are one place, and the notice's label is given if 75 % of its words are found there in
+    largest of them, null if there is none. Each notice is looked up by its words of highest IDF; where two of them at least
+    agree on where the notice would start, within two words, is a place, and the notice's label is given if 75 % of its words are found there in
     their relative positions (two words off at most) and its key phrases stand there word by word. ``score`` is
     the largest such part over places with all key phrases, 1 for a base phrase, 0 for none. A null text is an empty one.
     Repeated phrases count each; labels are distinct and sorted. Whole texts are read, whatever their length.

@@ -52,7 +52,8 @@ def test_learns_its_table_and_allows_what_is_unlike():
 def test_held_out_hosts(spark, sf_dir):
     found = urls.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).withColumn(
         "bad", F.col("host").rlike("ads-track|free-bets|cheap-pills|spam-farm|casino-win|adult-x")).collect()
-    clean = [r for r in found if not r.bad]
+    clean, bad = [r for r in found if not r.bad], [r for r in found if r.bad]
+    assert not bad or sum(r.probability >= 0.5 for r in bad) >= 0.75 * len(bad)
     assert sum(r.probability < 0.5 for r in clean) >= 0.9 * len(clean) > 0
 
 
@@ -60,3 +61,26 @@ def test_nulls_repeats_and_empty(spark):
     pages = spark.createDataFrame([(None, None), (1, "http://a.com/"), (1, "http://a.com/")], "page_id bigint, url string")
     assert sorted((r.page_id or 0, r.verdict) for r in urls.judge(pages).collect()) == [(0, "allow"), (1, "allow"), (1, "allow")]
     assert urls.judge(pages.limit(0)).count() == 0
+
+
+def test_bad_hosts_it_has_not_seen():
+    """Both sides, on hosts that are not in the labelled table."""
+    weights = urls.train()
+
+    def p(host, path):
+        held = urls.features(host, path)
+        return 1 / (1 + 2.718281828459045 ** -(weights[held].sum() / len(held) ** 0.5 + weights[-1]))
+
+    seen = {h for h, _, _ in urls.LABELLED}
+    bad = [f"{a}-{b}.example.net" for a in ("casino", "free-bets", "cheap-pills", "spam-farm", "adult", "ads-track")
+           for b in ("win", "now", "online", "best")]
+    good = [f"{a}.{b}.example.org" for a in ("library", "museum", "school", "news", "garden", "weather") for b in ("oldtown", "harbour", "valley")]
+    assert not seen & {*bad, *good}
+    assert sum(p(h, "/en/1") >= 0.5 for h in bad) >= 0.75 * len(bad)
+    assert sum(p(h, "/en/1") < 0.5 for h in good) >= 0.9 * len(good)
+
+
+def test_clashing_columns_do_not_matter(spark):
+    pages = spark.createDataFrame([(1, "http://a.com/x", "h", "p", "r", "v", 2.0)],
+                                  "page_id bigint, url string, host string, path string, rule string, verdict string, probability double")
+    assert urls.judge(pages).select("page_id", "host", "path", "rule").first() == (1, "a.com", "/x", "com/")
