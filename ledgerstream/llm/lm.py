@@ -14,14 +14,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerstream.llm.common import slices, stored
-from ledgerstream.llm.gru import END, Model
+from ledgerstream.llm.gru import END, Model, Trainer
 
 KNOWN = 1 << 17  # words, the most frequent, whose counts are sent to every task; the others' are joined
 SYMBOLS = 1024  # of the recurrent model: the end, the most frequent words, and one for all others
 WARM = 256  # texts that the first model is fitted to
-BESIDE = 256  # texts that run side by side when the model is trained further
+BESIDE = 256  # streams of texts that run side by side when the model is trained further
+ROUNDS = 2  # of training, each over a part of the texts, with the tasks' models averaged after it
+LEARNT = 1 << 19  # tokens that a task trains on in a round, at least
+SUMS = 16  # partitions that add the tasks' weights up
 HELD = 1 << 19  # words a task counts before it hands them on
-ROWS, CHARS = 4096, 16 << 20
+ROWS, CHARS = 16384, 48 << 20
 
 
 def words_of(text: str | None) -> list[bytes]:
@@ -99,9 +102,11 @@ def _symbols(ids: dict[bytes, int], vocabulary: Vocabulary, text: str | None) ->
 def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     """Trains the recurrent model.
 
-    A few texts (``WARM``, of smallest hash) give a first model. Then each task trains it further over all its
-    training texts, whole ones, by truncated backpropagation, and the tasks' weights are averaged by the tokens they saw.
-    A task holds the symbols of one batch of rows only.
+    A few texts (``WARM``, of smallest hash) give a first model. Then all training texts, whole ones, are dealt into
+    ``ROUNDS`` parts by hash. In a round each task trains the model further over its texts of that part, by truncated
+    backpropagation and with moments that last through its batches, and the tasks' weights are averaged by the tokens they
+    saw: added up in ``SUMS`` partitions, so that the driver gets as many rows however many tasks there are. A task
+    holds the symbols of one batch of rows only.
     """
     ids = vocabulary.ids()
     hashed = texts.select("text", F.xxhash64("_id", "text").alias("h"))
@@ -109,20 +114,39 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     warm = hashed.filter(F.col("h") <= F.lit(lowest)).limit(WARM).collect() if lowest is not None else []
     model = Model.new(vocabulary.symbol_counts)
     model, _ = model.train([_symbols(ids, vocabulary, r.text) for r in sorted(warm, key=lambda r: (r.h, r.text or ""))])
-
-    def further(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, trained, total = vocabulary.ids(), model, 0
+    # With too few texts a task's model would hardly leave the one it starts from, so small inputs have few learners.
+    learners = max(1, vocabulary.total // (ROUNDS * LEARNT))
+    for turn in range(ROUNDS):
+        part = hashed.filter(F.pmod("h", F.lit(ROUNDS)) == turn).select("text").coalesce(learners)
+        trained = part.mapInPandas(_further(vocabulary, model), "tokens bigint, weights binary")
+        sums = trained.repartition(SUMS).mapInPandas(_summed, "tokens bigint, weights binary").collect()
+        tokens = sum(r.tokens for r in sums)
+        if tokens:
+            model = model.with_flat(sum(np.frombuffer(r.weights) for r in sums) / tokens)
+    return model
+
+
+def _further(vocabulary: Vocabulary, model: Model):
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        ids, trainer, total = vocabulary.ids(), Trainer(model), 0
         for batch in batches:
-            trained, n = trained.train([_symbols(ids, vocabulary, t) for t in batch["text"]], BESIDE)
-            total += n
+            for _, texts in slices([t or "" for t in batch["text"]], ROWS, CHARS):
+                total += trainer.feed([_symbols(ids, vocabulary, t) for t in texts], BESIDE)
         if total:
-            yield pd.DataFrame({"tokens": [total], "weights": [trained.flat()]})
+            weights = trainer.values.astype(np.float64) * total
+            yield pd.DataFrame({"tokens": [total], "weights": [weights.tobytes()]})
+
+    return run
+
 
-    trained = texts.select("text").mapInPandas(further, "tokens bigint, weights array<float>")
-    means = (trained.select("tokens", F.posexplode("weights").alias("i", "w")).groupBy("i")
-             .agg((F.sum(F.col("w").cast("double") * F.col("tokens")) / F.sum("tokens")).alias("w"))
-             .toPandas().sort_values("i"))  # one row for each weight of the model
-    return model.with_flat(means["w"].to_numpy()) if len(means) else model
+def _summed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    tokens, weights = 0, 0.0
+    for batch in batches:
+        tokens += int(batch["tokens"].sum())
+        for row in batch["weights"]:
+            weights = weights + np.frombuffer(row)
+    if tokens:
+        yield pd.DataFrame({"tokens": [tokens], "weights": [weights.tobytes()]})
 
 
 def score(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -40,3 +40,22 @@ def alerts(transactions: DataFrame, window: str = WINDOW, rules: AlertRules = Al
             .withColumn("urgency_level", rules.urgency())
             .withColumn("reason", rules.reason())
             .select(*schemas.ALERT.fieldNames()))
+
+
+def window_changes(transactions: DataFrame, window: str = WINDOW, rules: AlertRules = AlertRules(),
+                   delay: str = DELAY) -> DataFrame:
+    """Every account and window as it stands, with the alert's columns; null urgency where no rule is broken yet.
+
+    For a keyed sink in update mode: a window's row is replaced as transactions come in, so an alert is there before its
+    window closes, and one that later amounts take back goes. A window that the watermark has passed changes no more.
+    """
+    return (account_windows(transactions, window, rules, delay)
+            .withColumn("type_id", F.when(rules.fires(), rules.type_id()))
+            .withColumn("urgency_level", F.when(rules.fires(), rules.urgency()))
+            .withColumn("reason", F.when(rules.fires(), rules.reason()))
+            .select(*schemas.ALERT.fieldNames()))
+
+
+def standing(windows: DataFrame) -> DataFrame:
+    """The alerts among windows."""
+    return windows.filter("urgency_level is not null")

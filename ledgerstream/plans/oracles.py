@@ -180,4 +180,21 @@ ORACLES: dict[str, str] = {
     "route_to_two_sinks": _WITH + """
         select 'topics' sink, event_id, topic, reject_reason from dest
         union all select 'rejects', event_id, topic, reject_reason from dest where reject_reason is not null""",
+    "fraud_alerts_early": _WITH + _alerts("tx", _DAY, 4, 300.0),
+    "alerts_with_last_report": _WITH + f""",
+        found as (
+            select account_id, (ms // {_DAY}) * {_DAY} window_start,
+                   case when count(*) > 4 and sum(amount_transferred) > 300 then 4
+                        when sum(amount_transferred) > 300 then 3 else 2 end urgency_level
+            from tx group by 1, 2 having count(*) > 4 or sum(amount_transferred) > 300)
+        select f.*, report_id last_report_id, risk_level last_risk_level, fr.ms last_reported_at
+        from found f left join fr on fr.account_id = f.account_id and fr.ms <= f.window_start + {_DAY}
+        qualify row_number() over (partition by f.account_id, f.window_start order by fr.ms desc, report_id desc) = 1""",
+    "unusual_amounts": _WITH + """
+        select id, account_id, ms as "timestamp", amount_transferred, earlier, round(usual, 6) usual, round(spread, 6) spread
+        from (select *, count(*) over w earlier, avg(amount_transferred) over w usual,
+                     stddev_samp(amount_transferred) over w spread from tx
+              window w as (partition by account_id order by ms, id rows between unbounded preceding and 1 preceding))
+        where earlier >= 5 and abs(amount_transferred - usual) > 3 * spread""",
+    "account_balances_backfilled": _BALANCES,
 }

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from ledgerstream.functions import eventtime, frames
 from ledgerstream.functions.rules import AlertRules
-from ledgerstream.operators import (alerts, balances, chains, correlation, envelope, profiles, router, routing,
+from ledgerstream.operators import (alerts, balances, chains, correlation, envelope, history, profiles, router, routing,
                                     sessions)
 from ledgerstream.operators.envelope import Writer
 from ledgerstream.plans import sqljobs
@@ -283,6 +283,18 @@ def account_balance_messages(spark, sf_dir):
                        F.round(field("value", "total_balance").cast("double"), 2).alias("total_balance"))
 
 
+@_register
+def account_balances_backfilled(spark, sf_dir):
+    """The first half of the month as a batch, the rest as a stream behind it, by one stateful query."""
+    out, cut = run_dir(spark, "account_balances_backfilled"), F.lit("2024-01-16").cast("timestamp_ntz")
+    opened = balances.opening(bank_events.transactions(bank_events.events(spark, sf_dir).filter(F.col("ts") < cut)))
+    opened.write.parquet(f"{out}/opening")
+    live = bank_events.transactions(bank_events.events_stream(spark, sf_dir).filter(~(F.col("ts") < cut)))
+    changes = balances.continued(files.read_stream(spark, f"{out}/opening", opened.schema), live)
+    _finish(sinks.upsert_files(changes, f"{out}/table", ["account_id"]), spark, "account_balances_backfilled", out)
+    return _cents(sinks.read_upserts(spark, f"{out}/table", ["account_id"]), "total_balance")
+
+
 @_register
 def account_balances_state(spark, sf_dir):
     """The balances as the streaming query holds them, read from its checkpoint and not from its sink."""
@@ -344,6 +356,27 @@ def fraud_alerts_stream(spark, sf_dir):
     return _cents(_read_back(spark, found, f"{out}/alerts"), "total_amount")
 
 
+@_register
+def fraud_alerts_early(spark, sf_dir):
+    """Alerts as they stand, windows that are still open too, from a keyed sink in update mode."""
+    out, keys = run_dir(spark, "fraud_alerts_early"), ["account_id", "window_start"]
+    changes = alerts.window_changes(_streamed(spark, sf_dir), SCALED_WINDOW, SCALED_RULES)
+    _finish(sinks.upsert_files(changes, f"{out}/windows", keys), spark, "fraud_alerts_early", out)
+    return _cents(alerts.standing(sinks.read_upserts(spark, f"{out}/windows", keys)), "total_amount")
+
+
+@_register
+def alerts_with_last_report(spark, sf_dir):
+    found = alerts.alerts(_transactions(spark, sf_dir), SCALED_WINDOW, SCALED_RULES)
+    held = history.with_last_report(found, _reports(spark, sf_dir), "window_end")
+    return held.select("account_id", "window_start", "urgency_level", "last_report_id", "last_risk_level", "last_reported_at")
+
+
+@_register
+def unusual_amounts(spark, sf_dir):
+    return _cents(history.unusual_amounts(_transactions(spark, sf_dir)), "usual", "spread", digits=6)
+
+
 def _in_overlapping_parts(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """The events as files of a stream, each reaching back over two thirds of the one before it."""
     events = bank_events.events(spark, sf_dir)

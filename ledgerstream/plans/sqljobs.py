@@ -96,7 +96,9 @@ def start(spark: SparkSession, properties: Mapping[str, str],
 
     The last file is an INSERT INTO a table declared before, or a SELECT that is streamed into ``sink``.
     """
-    *before, last = sql_files(properties)
+    *before, last = sql_files(properties) or [""]
+    if not last:
+        raise ValueError("no SQL files to stream: sql.files lists blanks alone")
     if before:
         run(spark, {**properties, "sql.files": ",".join(before)}, base)
     try:

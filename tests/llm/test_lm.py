@@ -132,3 +132,13 @@ def test_beats_the_unigram_on_held_out_texts(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [r for r in lm.score(docs, remainder("doc_id", 7) == 2).collect() if r.held_out]
     assert sum(r.score for r in rows) > sum(r.base_score for r in rows)
+
+
+def test_number_of_partitions_matters_little(spark):
+    """Held-out score per token of models that were trained by 1 and by 16 tasks a round."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = []
+    for n in (1, 16):
+        rows = [r for r in lm.score(docs.repartition(n), remainder("doc_id", 7) == 2).collect() if r.held_out]
+        found.append(sum(r.score for r in rows) / sum(r.n_tokens for r in rows))
+    assert abs(found[0] - found[1]) < 0.005, found

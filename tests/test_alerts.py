@@ -101,3 +101,21 @@ def test_many_batches_as_one(spark, transactions, tmp_path):
     finish(sinks.append_files(alerts.alerts(stream(spark, f"{tmp_path}/in")), f"{tmp_path}/out"), spark, "many", str(tmp_path))
     end = max(r[2] for r in rows_in) - 10_000
     assert rows(spark.read.parquet(f"{tmp_path}/out")) == rows(alerts.alerts(transactions(rows_in)).filter(f"window_end <= {end}"))
+
+
+def test_alerts_stand_before_their_window_closes(spark, transactions, tmp_path):
+    """Urgency rises with the rows of each batch; an alert that a later amount takes back goes; windows stay replaceable."""
+    path, keys = str(tmp_path), ["account_id", "window_start"]
+    rules = AlertRules(max_count=2, max_amount=100.0)
+    batches = [[("a", 60, 1), ("a", 30, 2), ("b", 150, 3)], [("a", 5, 4)], [("a", 50, 5), ("b", -100, 6)]]
+    seen, given = [], []
+    for batch in batches:
+        write_file(transactions([(a, x, m * 1000) for a, x, m in batch]), f"{path}/in")
+        given += [(a, x, m * 1000) for a, x, m in batch]
+        changes = alerts.window_changes(stream(spark, f"{path}/in"), "5 minutes", rules)
+        finish(sinks.upsert_files(changes, f"{path}/windows", keys), spark, "early", path)
+        standing = alerts.standing(sinks.read_upserts(spark, f"{path}/windows", keys))
+        seen.append(rows(standing, "account_id", "urgency_level"))
+        columns = schemas.ALERT.fieldNames()
+        assert rows(standing, *columns) == rows(alerts.alerts(transactions(given), "5 minutes", rules), *columns)
+    assert seen == [[("b", 3)], [("a", 2), ("b", 3)], [("a", 4)]]

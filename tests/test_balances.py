@@ -1,6 +1,8 @@
 import random
 from datetime import datetime, timedelta
 
+import pytest
+
 from helpers import MINUTE, finish, rows, stream, write_file
 from ledgerstream import schemas
 from ledgerstream.operators import balances
@@ -65,3 +67,24 @@ def test_history_as_a_stream(spark, transactions, tmp_path):
     finish(sinks.upsert_files(changes, f"{tmp_path}/table", ["account_id"]), spark, "history", str(tmp_path))
     table = sinks.read_upserts(spark, f"{tmp_path}/table", ["account_id"])
     assert rows(table, "account_id", "transaction_count", "total_amount") == [("a", 3, 7.0), ("b", 1, 0.0)]
+
+
+@pytest.mark.parametrize("cut", [0, 1, 3, 6])
+def test_backfill_then_stream_cut_anywhere(spark, transactions, tmp_path, cut):
+    """A batch up to the cut, then two micro-batches and a restart; accounts on one side of the cut or on both."""
+    path = str(tmp_path)
+    items = [("a", 1, 10), ("b", 2, 20), ("a", 4, 30), ("c", -8, 40), ("b", 16, 5), ("d", 32, 60)]
+    opened = balances.opening(transactions(items[:cut]))
+    opened.coalesce(1).write.parquet(f"{path}/opening")
+    rest = [items[cut:][i::2] for i in (0, 1)]
+
+    def run():
+        changes = balances.continued(stream(spark, f"{path}/opening", opened.schema), stream(spark, f"{path}/in"))
+        finish(sinks.upsert_files(changes, f"{path}/table", ["account_id"]), spark, "continued", path)
+
+    write_file(transactions(rest[0]), f"{path}/in")
+    run()
+    write_file(transactions(rest[1]), f"{path}/in")
+    run()
+    found = rows(sinks.read_upserts(spark, f"{path}/table", ["account_id"]))
+    assert found == rows(balances.account_balances(transactions(items)))

@@ -40,6 +40,12 @@ def test_no_files(spark, listed):
         sqljobs.run(spark, listed)
 
 
+def test_a_list_of_blanks_runs_nothing_and_streams_nothing(spark):
+    assert sqljobs.run(spark, {"sql.files": " , ,"}) is None
+    with pytest.raises(ValueError, match="sql.files"):
+        sqljobs.start(spark, {"sql.files": " , ,"})
+
+
 def test_first_failure_stops_and_names_the_file(spark, tmp_path):
     files(tmp_path, bad="SELEC 1", never="CREATE OR REPLACE TEMPORARY VIEW never_made AS SELECT 1")
     with pytest.raises(sqljobs.SqlFileError, match="bad.sql"):
