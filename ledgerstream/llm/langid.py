@@ -15,7 +15,7 @@ from ledgerstream.llm.common import slices
 DIMENSIONS = 1024
 SYMBOLS = 128  # 0 stands for whatever is not a letter; those of European scripts come first, the others by code point
 SHIFT = 21  # bits of a symbol
-TRIGRAMS = 4096  # distinct trigrams that are bound at a time
+TRIGRAMS = 12288  # distinct trigrams that are bound at a time
 UNKNOWN = "und"
 NOISE = 190  # trigrams of a text at which its own noise is as large as its language's part, as measured
 SLICE_ROWS, PIECE = 256, 1 << 20  # texts and characters encoded at a time
@@ -39,7 +39,7 @@ class Encoder:
 
     def __init__(self, dimensions: int = DIMENSIONS, seed: int = 7):
         letters = np.random.default_rng(seed).integers(0, 2, (SYMBOLS, dimensions)).astype(np.int8) * 2 - 1
-        self.own = letters
+        self.first, self.second, self.own = np.roll(letters, 2, 1), np.roll(letters, 1, 1), letters
         self.dimensions = dimensions
         self.symbol = _symbols()
         self.column = np.zeros(SYMBOLS ** 3, np.int32)
@@ -58,6 +58,8 @@ class Encoder:
 
     def vectors(self, a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
         """Binds the letters' vectors, each rotated by its place in the trigram."""
+        if max(x.max(initial=0) for x in (a, b, c)) < SYMBOLS:
+            return self.first[a] * self.second[b] * self.own[c]
         return np.roll(self.letters(a), 2, 1) * np.roll(self.letters(b), 1, 1) * self.letters(c)
 
     def encode(self, texts: list[str]) -> np.ndarray:
@@ -83,15 +85,15 @@ class Encoder:
             return
         owner = np.repeat(np.arange(len(run)), [len(t) + 1 for t in run])[:-1][keep]
         self.met[rows] += np.bincount(owner, minlength=len(run))
-        a, b, c = (x[keep] for x in (codes[:-2], codes[1:-1], codes[2:]))
         if codes.max() < SYMBOLS:  # few enough trigrams to have a column each
-            trigrams = (a * SYMBOLS + b) * SYMBOLS + c
+            trigrams = ((codes[:-2] * SYMBOLS + codes[1:-1]) * SYMBOLS + codes[2:])[keep]
             seen = np.flatnonzero(np.bincount(trigrams, minlength=SYMBOLS ** 3))
             self.column[seen] = np.arange(len(seen), dtype=np.int32)
             column = self.column[trigrams]
             a, b, c = seen // SYMBOLS ** 2, seen // SYMBOLS % SYMBOLS, seen % SYMBOLS
         else:
-            trigrams = (a.astype(np.int64) << 2 * SHIFT) | (b.astype(np.int64) << SHIFT) | c
+            wide = codes.astype(np.int64)
+            trigrams = ((wide[:-2] << 2 * SHIFT) | (wide[1:-1] << SHIFT) | wide[2:])[keep]
             seen, column = np.unique(trigrams, return_inverse=True)
             a, b, c = seen >> 2 * SHIFT, seen >> SHIFT & (1 << SHIFT) - 1, seen & (1 << SHIFT) - 1
         if len(seen) <= TRIGRAMS:
