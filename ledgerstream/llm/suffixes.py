@@ -214,13 +214,14 @@ def repeats(texts: DataFrame, length: int = LENGTH) -> DataFrame:
     pair, of their two halves, and those met more than once repeat.
     """
     runs = stored(texts.mapInArrow(_runs(length), "key binary, picked long, digest long, start long, stop long, place long"), "suffix-runs")
-    classes = (runs.groupBy("picked").agg(F.count("*").alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"))
-               .filter("n > 1").select("picked", (F.col("a") != F.col("b")).alias("mixed")))
+    # Written before they are joined, so that Spark can split the runs of a string that very many windows picked.
+    classes = stored(runs.groupBy("picked").agg(F.count("*").alias("n"), F.min("digest").alias("a"), F.max("digest").alias("b"))
+                     .filter("n > 1").select("picked", (F.col("a") != F.col("b")).alias("mixed")), "suffix-picked")
     met = stored(runs.join(classes, "picked").withColumn("id", F.monotonically_increasing_id()), "suffix-classes")
-    discard(runs)
-    same = met.groupBy("picked", "digest").agg(F.count("*").alias("n"), F.min("id").alias("one"))
+    discard(runs, classes)
+    same = stored(met.groupBy("picked", "digest").agg(F.count("*").alias("n"), F.min("id").alias("one")), "suffix-same")
     known = stored(met.join(same, ["picked", "digest"]), "suffix-known")
-    discard(met)
+    discard(met, same)
     whole = known.filter("n > 1").select("key", "start", "stop")
 
     # One run of equals is enough to go on.
