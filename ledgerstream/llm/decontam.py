@@ -24,6 +24,7 @@ ROWS, CHARS, PIECE = 4096, 4 << 20, 1 << 20  # texts and characters in a slice,
 # Scripts that are written without spaces between words: each of their characters counts as a word.
 UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff"
                       "\U00020000-\U0003ffff]")
+LEADS = re.compile(rb"[\xe0\xe1\xe3-\xe9\xef\xf0]")  # first bytes of their characters in UTF-8
 _SPLIT = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or chr(b).isalnum() else 32 for b in range(256))
 
 
@@ -35,9 +36,10 @@ def words_of(text: str) -> Iterator[list[bytes]]:
         while stop < len(text) and text[stop].isalnum() and not UNSPACED.match(text[stop]):  # a word is never cut
             stop += 1
         part = text[at:stop].lower()
-        if not part.isascii() and UNSPACED.search(part):
-            part = UNSPACED.sub(r" \g<0> ", part)
-        yield part.encode("utf-8", "replace").translate(_SPLIT).split()
+        data = part.encode("utf-8", "replace")
+        if not part.isascii() and LEADS.search(data):
+            data = UNSPACED.sub(r" \g<0> ", part).encode("utf-8", "replace")
+        yield data.translate(_SPLIT).split()
         at = stop
 
 
