@@ -8,7 +8,7 @@ import numpy as np
 
 END, WINDOW = 0, 32
 EMBEDDED, HIDDEN, CLASSES, CLASS_SIZE = 16, 24, 24, 48
-SIDE = 512  # streams that are scored side by side
+SIDE = 192  # streams that are scored side by side
 SEGMENT = 2048  # symbols of a text that are trained on in one piece
 
 
@@ -77,7 +77,7 @@ class Model:
         """log10 probability of each symbol after its state."""
         w = self.weights
         order = np.argsort(self.class_of[symbols].astype(np.int16), kind="stable")
-        s, sorted_symbols = states[order], symbols[order]
+        s, sorted_symbols = states.take(order, axis=0), symbols[order]
         wanted = self.class_of[sorted_symbols]
         found = _log_softmax(s @ w["to_class"] + w["class_bias"], wanted)
         edges = np.searchsorted(wanted, np.arange(len(self.bounds)))
@@ -103,18 +103,25 @@ class Model:
         # Each stream's symbols stand together, and so do those of its texts.
         spread = np.repeat(firsts - (np.cumsum(lengths[order]) - lengths[order]), lengths[order]) + np.arange(len(tokens))
         tokens, owner = tokens[spread], np.repeat(order, lengths[order])
-        h, before = np.zeros((len(loads), HIDDEN), np.float32), np.full(len(loads), END, np.int32)
+        h, last = np.zeros((len(loads), HIDDEN), np.float32), np.full(len(loads), END, np.int32)
         for at in range(0, int(loads[0]), WINDOW):
-            states, symbols, owners = [], [], []
-            for t in range(at, min(at + WINDOW, int(loads[0]))):
-                live = int(np.searchsorted(-loads, -t, "left"))
-                h, before, places = h[:live], before[:live], starts[:live] + t
-                h = self.step(table[before], h * (before != END)[:, None])[-1]
-                before = tokens[places]
-                states.append(h)
-                symbols.append(before)
-                owners.append(owner[places])
-            out += np.bincount(np.concatenate(owners), self.log10(np.concatenate(states), np.concatenate(symbols)), len(out))
+            steps = np.arange(at, min(at + WINDOW, int(loads[0])))
+            lives = np.searchsorted(-loads, -steps, "left")
+            width = int(lives[0])
+            places = np.minimum(starts[:width] + steps[:, None], len(tokens) - 1)
+            symbols = tokens[places]
+            before = np.concatenate([last[None, :width], symbols[:-1]])
+            given, keep = table.take(before, axis=0), (before != END).astype(np.float32)[:, :, None]
+            states = np.empty((len(steps), width, HIDDEN), np.float32)
+            for t, live in enumerate(lives.tolist()):
+                h = states[t, :live] = self.step(given[t, :live], h[:live] * keep[t, :live])[-1]
+            last = symbols[-1]
+            if lives[-1] == width:
+                states, symbols, places = states.reshape(-1, HIDDEN), symbols.ravel(), places.ravel()
+            else:
+                on = np.arange(width) < lives[:, None]
+                states, symbols, places = states[on], symbols[on], places[on]
+            out += np.bincount(owner[places], self.log10(states, symbols), len(out))
         return out
 
     # -- training
@@ -126,7 +133,7 @@ class Model:
         ``fresh``: where a stream goes on with another text, whose state starts empty.
         """
         w, n, (steps, width) = self.weights, HIDDEN, symbols.shape
-        given = (w["embed"] @ w["input"] + w["bias"])[before]
+        given = (w["embed"] @ w["input"] + w["bias"]).take(before, axis=0)
         given[~mask, :n] = np.inf  # the update gate of a text that has ended is 1, which hands its state on
         kept = np.empty((4, steps, width, n), given.dtype)
         states, entered = np.empty((2, steps, width, n), given.dtype)
@@ -142,7 +149,7 @@ class Model:
             wanted = symbols.ravel()[live]
             order = np.argsort(self.class_of[wanted].astype(np.int16), kind="stable")
             live, wanted = live[order], wanted[order]  # a class's rows stand side by side
-            s, classes = states.reshape(-1, n)[live], self.class_of[wanted]
+            s, classes = states.reshape(-1, n).take(live, axis=0), self.class_of[wanted]
             wrong, loss = _softmax_error(s @ w["to_class"] + w["class_bias"], classes)
             wrong /= len(live)
             grads["to_class"], grads["class_bias"] = s.T @ wrong, wrong.sum(0)
@@ -180,7 +187,9 @@ class Model:
         order = np.argsort(before.ravel(), kind="stable")
         met = before.ravel()[order]
         firsts = np.flatnonzero(np.append(True, np.diff(met) > 0))
-        sums = np.add.reduceat(given_grad.reshape(-1, 3 * n)[order], firsts)
+        # Differences of running sums: quicker than a sum for each stretch.
+        upto = np.cumsum(given_grad.reshape(-1, 3 * n).take(order, axis=0), axis=0, dtype=np.float64)
+        sums = np.diff(upto[np.append(firsts[1:], len(met)) - 1], axis=0, prepend=0.0).astype(given.dtype)
         grads["bias"] = sums.sum(0)
         grads["input"] = w["embed"][met[firsts]].T @ sums
         grads["embed"][met[firsts]] = sums @ w["input"].T

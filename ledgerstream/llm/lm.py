@@ -16,10 +16,10 @@ from pyspark.sql import functions as F
 from ledgerstream.llm.common import slices, stored
 from ledgerstream.llm.gru import END, Model, Trainer
 
-KNOWN = 1 << 17  # words, the most frequent, whose counts are sent to every task; the others' are joined
+KNOWN = 1 << 18  # words, the most frequent, whose counts are sent to every task; the others' are joined
 SYMBOLS = 1024  # of the recurrent model: the end, the most frequent words, and one for all others
 WARM = 256  # texts that the first model is fitted to
-BESIDE = 256  # streams of texts that run side by side when the model is trained further
+BESIDE = 384  # streams of texts that run side by side when the model is trained further
 ROUNDS = 2  # of training, each over a part of the texts, with the tasks' models averaged after it
 LEARNT = 1 << 19  # tokens that a task trains on in a round, at least
 SUMS = 16  # partitions that add the tasks' weights up
@@ -89,14 +89,18 @@ class Vocabulary:
         self.rest = np.append(np.where(np.arange(len(known)) < own, 0.0,
                                        smoothed - math.log10(self.rest_total + self.rest_distinct + 1)), 0.0)
 
+    def own(self) -> dict[bytes, int]:
+        """The symbols of the words that have one of their own."""
+        return {w: i for i, w in enumerate(self.words[:self.other - 1], 1)}
+
     def ids(self) -> dict[bytes, int]:
         return {w: i for i, w in enumerate(self.words)}
 
 
-def _symbols(ids: dict[bytes, int], vocabulary: Vocabulary, text: str | None) -> np.ndarray:
+def _symbols(own: dict[bytes, int], vocabulary: Vocabulary, text: str | None) -> np.ndarray:
     words = words_of(text)
-    found = np.fromiter(map(ids.get, words, repeat(-1)), np.int32, len(words))
-    return np.append(vocabulary.symbols[found], np.int32(END))
+    found = np.fromiter(map(own.get, words, repeat(vocabulary.other)), np.int32, len(words))
+    return np.append(found, np.int32(END))
 
 
 def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
@@ -108,12 +112,12 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
     saw: added up in ``SUMS`` partitions, so that the driver gets as many rows however many tasks there are. A task
     holds the symbols of one batch of rows only.
     """
-    ids = vocabulary.ids()
+    own = vocabulary.own()
     hashed = texts.select("text", F.xxhash64("_id", "text").alias("h"))
     lowest = hashed.select("h").orderBy("h").limit(WARM).agg(F.max("h")).first()[0]  # hashes only meet in one place
     warm = hashed.filter(F.col("h") <= F.lit(lowest)).limit(WARM).collect() if lowest is not None else []
     model = Model.new(vocabulary.symbol_counts)
-    model, _ = model.train([_symbols(ids, vocabulary, r.text) for r in sorted(warm, key=lambda r: (r.h, r.text or ""))])
+    model, _ = model.train([_symbols(own, vocabulary, r.text) for r in sorted(warm, key=lambda r: (r.h, r.text or ""))])
     # With too few texts a task's model would hardly leave the one it starts from, so small inputs have few learners.
     learners = max(1, vocabulary.total // (ROUNDS * LEARNT))
     for turn in range(ROUNDS):
@@ -128,10 +132,10 @@ def fit(texts: DataFrame, vocabulary: Vocabulary) -> Model:
 
 def _further(vocabulary: Vocabulary, model: Model):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        ids, trainer, total = vocabulary.ids(), Trainer(model), 0
+        own, trainer, total = vocabulary.own(), Trainer(model), 0
         for batch in batches:
             for _, texts in slices([t or "" for t in batch["text"]], ROWS, CHARS):
-                total += trainer.feed([_symbols(ids, vocabulary, t) for t in texts], BESIDE)
+                total += trainer.feed([_symbols(own, vocabulary, t) for t in texts], BESIDE)
         if total:
             weights = trainer.values.astype(np.float64) * total
             yield pd.DataFrame({"tokens": [total], "weights": [weights.tobytes()]})
